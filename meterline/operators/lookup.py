@@ -1,0 +1,26 @@
+"""Joining a large relation to a dimension."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS = 500_000
+MAX_TEXT_BYTES = 64 << 20
+
+
+def is_small(dim: DataFrame, max_rows: int = MAX_ROWS, max_text_bytes: int = MAX_TEXT_BYTES) -> bool:
+    """Whether a dimension stays below a row and a byte bound; at most ``max_rows + 1`` rows are looked at."""
+    text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, dtype in dim.dtypes if dtype == "string"]
+    width = sum(text, F.lit(0)).cast("bigint")
+    rows, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return rows <= max_rows and size <= max_text_bytes
+
+
+def broadcast_if_small(dim: DataFrame, **bounds: int) -> DataFrame:
+    """Broadcast a dimension of checked size.
+
+    A larger one is left to a shuffled join, where adaptive execution splits the partitions of
+    keys that hold much of the other side.
+    """
+    return F.broadcast(dim) if is_small(dim, **bounds) else dim
