@@ -23,20 +23,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def feed(spark: SparkSession, sf_dir: str, *, copies: bool = True) -> DataFrame:
     """Raw trips, one per line item; with ``copies`` those of two passengers arrive again a day later."""
-    amount = "CAST(l_extendedprice AS DECIMAL(10,2))"
+    # Whole cents, so that tip and total are exact to the cent, halves rounded up.
+    price = "CAST(rint(l_extendedprice * 100) AS BIGINT)"
     trips = (
         table(spark, sf_dir, "lineitem")
         .withColumn(
             "base_day",
             F.expr("IF(l_linenumber = 3 AND l_quantity = 1, l_shipdate - INTERVAL '1' MONTH, l_shipdate)"),
         )
-        .withColumn("pickup", F.expr("base_day + make_dt_interval(0, 0, CAST(l_partkey * 37 % 1440 AS INT))"))
+        .withColumn("pickup", F.expr("timestampadd(MINUTE, l_partkey * 37 % 1440, base_day)"))
         .select(
             F.expr("l_suppkey % 8 AS VendorID"),
             F.col("pickup").alias("tpep_pickup_datetime"),
-            F.expr(
-                "pickup + make_dt_interval(0, 0, CAST((l_orderkey * 7 + l_linenumber * 13) % 1600 - 60 AS INT))"
-            ).alias("tpep_dropoff_datetime"),
+            F.expr("timestampadd(MINUTE, (l_orderkey * 7 + l_linenumber * 13) % 1600 - 60, pickup)").alias(
+                "tpep_dropoff_datetime"
+            ),
             F.expr("CAST(NULLIF(l_linenumber, 7) AS BIGINT) AS passenger_count"),
             F.col("l_quantity").alias("trip_distance"),
             F.lit(None).cast("bigint").alias("RatecodeID"),
@@ -47,23 +48,21 @@ def feed(spark: SparkSession, sf_dir: str, *, copies: bool = True) -> DataFrame:
             F.expr(
                 "IF(l_returnflag = 'R' AND l_discount = 0, -l_extendedprice, l_extendedprice) AS fare_amount"
             ),
-            F.expr(
-                f"CAST(CAST({amount} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS DOUBLE) AS tip_amount"
-            ),
-            F.expr(
-                f"CAST(CAST({amount} * CAST(1 + l_tax AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS DOUBLE) AS total_amount"
-            ),
+            F.expr(f"({price} * CAST(rint(l_discount * 100) AS INT) + 50) DIV 100 / 100D AS tip_amount"),
+            F.expr(f"({price} * CAST(rint(100 + l_tax * 100) AS INT) + 50) DIV 100 / 100D AS total_amount"),
             F.expr("trunc(to_date(l_shipdate), 'month') AS source_month"),
             F.col("l_shipdate").alias("loaded_at"),
         )
     )
-    if copies:
-        days = F.when(F.col("passenger_count") == 2, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        trips = trips.withColumn("copy", F.explode(days)).withColumn(
-            "loaded_at", F.expr("loaded_at + make_dt_interval(copy)")
-        )
     money = {c: F.lit(None).cast("double") for c, t in RAW_COLUMNS.items() if t == "double" and c not in trips.columns}
-    return trips.withColumns(money).select(*RAW_COLUMNS, "source_month", "loaded_at")
+    columns = [*RAW_COLUMNS, "source_month", "loaded_at"]
+    trip = F.col("trip")
+    again = trip.withField("loaded_at", F.expr("timestampadd(DAY, 1, trip.loaded_at)"))
+    twice = F.when(trip["passenger_count"] == 2, F.array(trip, again)) if copies else F.when(F.lit(False), F.array(trip))
+    # Unpacking a record per trip keeps filters on derived columns from being pushed into their
+    # definitions, where each use would compute them again.
+    records = trips.withColumns(money).select(F.struct(*columns).alias("trip"))
+    return records.select(F.inline(twice.otherwise(F.array(trip))))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,9 +84,9 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land(trips: DataFrame, folder: str) -> str:
     """Write trips as one delivery per month below a folder, in the feed's own layout."""
-    delivered = trips.drop("source_month", "loaded_at").withColumn(
-        "source_file", F.concat(F.lit("yellow_tripdata_"), F.date_format(trips["source_month"], "yyyy-MM"), F.lit(".parquet"))
-    )
+    month = F.date_format("source_month", "yyyy-MM")
+    named = trips.withColumn("source_file", F.concat(F.lit("yellow_tripdata_"), month, F.lit(".parquet")))
+    delivered = named.drop("source_month", "loaded_at")
     delivered.hint("rebalance", F.col("source_file")).write.partitionBy("source_file").parquet(folder)
     return folder
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,38 +34,37 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Whole cents of a DOUBLE amount, halves away from zero; NULL for NaN.
+    """Whole cents of a DOUBLE amount, halves away from zero.
 
     Works on the binary value times 100, so 1.005 is 100 cents. Going through the printed
     decimal, as a plain cast does, would give 101.
     """
-    scaled = amount * F.lit(100.0)
-    rounded = F.when(scaled < 0, F.ceil(scaled - F.lit(0.5))).otherwise(F.floor(scaled + F.lit(0.5)))
-    return F.when(~F.isnan(amount), rounded)
+    return F.round(amount * F.lit(100.0)).cast("bigint")
 
 
 def money(amount: Column) -> Column:
-    """DECIMAL(10,2) of a DOUBLE amount."""
-    return (cents(amount) / F.lit(100.0)).cast("decimal(10,2)")
+    """DECIMAL(10,2) of a DOUBLE amount, built from whole cents without parsing text."""
+    return (cents(amount).cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
+
+
+def rounds_below_zero(amount: Column) -> Column:
+    """Whether ``money(amount) < 0``, told from the DOUBLE alone."""
+    return amount * F.lit(100.0) <= F.lit(-0.5)
+
+
+def rounds_above(amount: Column, high: float) -> Column:
+    """Whether ``money(amount) > high``, told from the DOUBLE alone. NaN is above every bound."""
+    return amount * F.lit(100.0) >= F.lit(float(high) * 100 + 0.5)
 
 
 def number_text(value: Column) -> Column:
-    """Text of a DOUBLE in shortest form, plain between 1e-4 and 1e16 and with an exponent outside.
+    """Text of a DOUBLE in shortest form, without an exponent from 1e-4 up to 1e16.
 
     Spark's own cast switches to an exponent below 1e-3 and from 1e7 on.
     """
     text = value.cast("string")
-    size = F.abs(value)
-    fixed = text.cast("decimal(38,22)").cast("string")
-    plain = F.regexp_replace(F.regexp_replace(fixed, "0+$", ""), r"\.$", ".0")
-    exponent = F.regexp_replace(text, r"(\.0)?E(\d+)$", "e+$2")
-    exponent = F.regexp_replace(exponent, r"(\.0)?E-(\d)$", "e-0$2")
-    exponent = F.regexp_replace(exponent, r"(\.0)?E-(\d+)$", "e-$2")
-    return (
-        F.when((size == 0) | ((size >= 1e-3) & (size < 1e7)), text)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponent)
-    )
+    plain = F.regexp_replace(text.cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
 
 
 def trip_key() -> Column:

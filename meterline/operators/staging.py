@@ -25,18 +25,16 @@ REQUIRED = (
 def cleaning_conditions(rules: CleaningRules = CleaningRules()) -> dict[str, Column]:
     """What a raw row must satisfy, by rule. NULL and NaN count as a failure.
 
-    Money is compared in whole cents, the value it has after the cast to DECIMAL(10,2), which
-    spares the filter building decimals for rows it drops.
+    Money counts with the value it has as DECIMAL(10,2), but no decimal is built to decide on a row.
     """
     pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
-    fare, total, tip = (X.cents(F.col(c)) for c in ("fare_amount", "total_amount", "tip_amount"))
-    miles = F.col("trip_distance")
-    most = F.lit(float(rules.max_fare_usd) * 100)
+    fare, total, tip, miles = (F.col(c) for c in ("fare_amount", "total_amount", "tip_amount", "trip_distance"))
+    negative = X.rounds_below_zero(F.least(fare, total, tip))
     return {
-        "required": reduce(and_, [F.col(c).isNotNull() for c in REQUIRED]),
-        "not_negative": (fare >= 0) & (total >= 0) & (tip >= 0) & (miles >= 0),
-        "fare_cap": fare <= most,
-        "total_cap": total <= most,
+        "required": reduce(and_, [F.col(c).isNotNull() for c in REQUIRED], ~F.isnan(tip)),
+        "not_negative": ~negative & (miles >= 0),
+        "fare_cap": ~X.rounds_above(fare, rules.max_fare_usd),
+        "total_cap": ~X.rounds_above(total, rules.max_fare_usd),
         "distance_cap": miles <= rules.max_trip_miles,
         "time_order": dropoff >= pickup,
         "under_24h": dropoff < pickup + F.expr("INTERVAL '24' HOUR"),

@@ -11,14 +11,17 @@ from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
-# Settings the jobs are designed for; a cluster's own submit-time settings win where they are set.
+# Settings the jobs are designed for. Java never compiles methods beyond 8000 bytes, so a wider
+# generated loop is better run operator by operator.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 SHUFFLE_BYTES_PER_PARTITION = 128 << 20
