@@ -156,19 +156,19 @@ def _history(final: str) -> str:
     return _sql(
         ["zones"],
         f""", seen AS (
-            SELECT *, TIMESTAMP '2025-01-01' AS at FROM zones
+            SELECT *, TIMESTAMP '2025-01-01' AS seen_at FROM zones
             UNION ALL SELECT *, TIMESTAMP '2025-02-01' FROM ({renamed.format(v=1)})
             UNION ALL SELECT *, TIMESTAMP '2025-03-01' FROM ({renamed.format(v=2)})),
         starts AS (
             SELECT * EXCLUDE (before, first) FROM (
-                SELECT *, lag((borough, zone, service_zone)) OVER (PARTITION BY location_id ORDER BY at) AS before,
-                    row_number() OVER (PARTITION BY location_id ORDER BY at) = 1 AS first
+                SELECT *, lag((borough, zone, service_zone)) OVER (PARTITION BY location_id ORDER BY seen_at) AS before,
+                    row_number() OVER (PARTITION BY location_id ORDER BY seen_at) = 1 AS first
                 FROM seen)
             WHERE first OR (borough, zone, service_zone) IS DISTINCT FROM before),
         history AS (
-            SELECT location_id, borough, zone, service_zone, md5(concat_ws('|', location_id, at)) AS dbt_scd_id,
-                at AS dbt_updated_at, at AS dbt_valid_from,
-                lead(at) OVER (PARTITION BY location_id ORDER BY at) AS dbt_valid_to
+            SELECT location_id, borough, zone, service_zone, md5(concat_ws('|', location_id, seen_at)) AS dbt_scd_id,
+                seen_at AS dbt_updated_at, seen_at AS dbt_valid_from,
+                lead(seen_at) OVER (PARTITION BY location_id ORDER BY seen_at) AS dbt_valid_to
             FROM starts)
         {final}""",
     )
@@ -278,7 +278,7 @@ def all_sql() -> dict[str, str]:
         "trip_key_md5": _sql([*_FEED, "typed"], "SELECT trip_id, count(*) AS copies FROM typed GROUP BY trip_id"),
         "number_texts": """
             SELECT l_orderkey, l_linenumber,
-                (l_extendedprice * ('1e' || (l_orderkey % 19 - 8)::INT)::DOUBLE)::VARCHAR AS amount
+                (l_extendedprice * ('1e' || (l_orderkey % 17 - 6)::INT)::DOUBLE)::VARCHAR AS amount
             FROM lineitem""",
         "money_rounding": """
             SELECT l_orderkey, (l_orderkey / 1000.0::DOUBLE

@@ -226,7 +226,7 @@ def trip_key_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def number_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of numbers on both sides of the limits of plain notation."""
-    prices = table(spark, sf_dir, "lineitem").withColumn("exponent", F.expr("CAST(l_orderkey % 19 - 8 AS INT)"))
+    prices = table(spark, sf_dir, "lineitem").withColumn("exponent", F.expr("CAST(l_orderkey % 17 - 6 AS INT)"))
     # The power of ten comes from text, hence is the nearest DOUBLE in any engine.
     scale = F.concat(F.lit("1e"), "exponent").cast("double")
     return prices.select(

@@ -6,6 +6,7 @@ import logging
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from meterline.operators.fact import build_fact
 from meterline.operators.snapshot import apply_snapshot
 from meterline.operators.staging import stage_trips, stage_zones
 from meterline.plans.data_tests import run_data_tests
-from meterline.session import shuffles_sized_for
+from meterline.session import shuffles_sized_for, side_by_side
 from meterline.sources import files, tables
 from meterline.sources.months import month_path, month_starts, validate_month
 from meterline.sources.trips import load_months
@@ -92,9 +93,12 @@ def build_marts(spark: SparkSession, warehouse: Warehouse, zones: DataFrame) ->
     tables.overwrite_table(dim_zones(zones), warehouse.mart("dim_zones"))
     dim = tables.read_table(spark, warehouse.mart("dim_zones"))
     cells = tables.read_table(spark, warehouse.cells)
-    tables.overwrite_table(marts.mart_daily_revenue(cells), warehouse.mart("mart_daily_revenue"))
-    tables.overwrite_table(marts.mart_hourly_demand(cells), warehouse.mart("mart_hourly_demand"))
-    tables.overwrite_table(marts.mart_zone_performance(cells, dim), warehouse.mart("mart_zone_performance"))
+    built = {
+        "mart_daily_revenue": marts.mart_daily_revenue(cells),
+        "mart_hourly_demand": marts.mart_hourly_demand(cells),
+        "mart_zone_performance": marts.mart_zone_performance(cells, dim),
+    }
+    side_by_side(partial(tables.overwrite_table, df, warehouse.mart(name)) for name, df in built.items())
 
 
 def snapshot_zones(spark: SparkSession, warehouse: Warehouse, zones: DataFrame, at: datetime) -> None:

@@ -7,7 +7,9 @@ import contextlib
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -63,6 +65,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def side_by_side(calls: Iterable[Callable[[], Any]], at_once: int = 8) -> list:
+    """Results of calls that start independent jobs; the first error is raised."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return [future.result() for future in [pool.submit(call) for call in calls]]
+
+
 @contextlib.contextmanager
 def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     """Raise the shuffle partition count so that one partition of ``input_bytes`` fits a task.

@@ -8,8 +8,9 @@ from datetime import date
 
 _MONTH = re.compile(r"\d{4}-(0[1-9]|1[0-2])")
 
-# Fixed file name of one month's delivery.
+# Fixed file name of one month's delivery, and the month in a path that holds it.
 FILE_TEMPLATE = "yellow_tripdata_{month}.parquet"
+MONTH_IN_PATH = r".*yellow_tripdata_(\d{4}-\d{2})\.parquet"
 
 
 def validate_month(month: str) -> str:
@@ -38,6 +39,12 @@ def month_path(month: str, data_dir: str) -> str:
     return f"{str(data_dir).rstrip('/')}/raw/{FILE_TEMPLATE.format(month=validate_month(month))}"
 
 
+def named_month(path: str) -> str | None:
+    """The month a delivery's path names, if it does."""
+    found = re.match(MONTH_IN_PATH, path)
+    return found and found.group(1)
+
+
 def month_range(first: str, last: str) -> list[str]:
     """Every month from ``first`` to ``last``, both included."""
     out, current = [], validate_month(first)

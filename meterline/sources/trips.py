@@ -6,11 +6,11 @@ import logging
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from meterline.session import side_by_side
 from meterline.sources import tables
-from meterline.sources.months import month_start
+from meterline.sources.months import MONTH_IN_PATH, month_start, named_month
 from meterline.sources.schemas import RAW_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -18,36 +18,60 @@ log = logging.getLogger(__name__)
 _FRACTIONAL = ("double", "float", "decimal")
 
 
-def _aligned(source: Column, source_type: str, target_type: str) -> Column:
-    if target_type == "bigint" and source_type.startswith(_FRACTIONAL):
-        # Spark truncates here; the feed's former DOUBLE counts are to be rounded half to even.
-        source = F.rint(source)
-    return source.cast(target_type)
+def align_to_schema(df: DataFrame, columns: dict[str, str] = RAW_COLUMNS, *extra: str) -> DataFrame:
+    """Match columns whatever their case, cast them, add missing ones as NULL, drop the rest.
 
-
-def align_to_schema(df: DataFrame, columns: dict[str, str] = RAW_COLUMNS) -> DataFrame:
-    """Match columns whatever their case, cast them, add missing ones as NULL, drop the rest."""
+    ``extra`` are further SQL expressions to append.
+    """
     found = {name.lower(): (name, dtype) for name, dtype in df.dtypes}
     out = []
     for name, dtype in columns.items():
-        if name.lower() in found:
-            source, source_type = found[name.lower()]
-            value = _aligned(F.col(f"`{source}`"), source_type, dtype)
-        else:
+        source, source_type = found.get(name.lower(), (None, None))
+        if source is None:
             log.warning("Column %s not in file; loading as NULL", name)
-            value = F.lit(None).cast(dtype)
-        out.append(value.alias(name))
-    return df.select(*out)
+            value = "NULL"
+        elif dtype == "bigint" and source_type.startswith(_FRACTIONAL):
+            # Spark truncates here; the feed's former DOUBLE counts are to be rounded half to even.
+            value = f"rint(`{source}`)"
+        else:
+            value = f"`{source}`"
+        out.append(f"CAST({value} AS {dtype}) AS `{name}`")
+    return df.selectExpr(*out, *extra)
+
+
+def _audited(df: DataFrame, source_month: str, loaded_at: datetime | None) -> DataFrame:
+    loaded = f"TIMESTAMP_NTZ '{loaded_at}'" if loaded_at else "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
+    return align_to_schema(df, RAW_COLUMNS, f"{source_month} AS source_month", f"{loaded} AS loaded_at")
 
 
 def read_month(spark: SparkSession, path: str, month: str, loaded_at: datetime | None = None) -> DataFrame:
     """Rows of one delivered month in raw layout, audit columns included."""
-    loaded = F.lit(loaded_at) if loaded_at else F.current_timestamp()
-    return align_to_schema(spark.read.parquet(path)).select(
-        "*",
-        F.lit(month_start(month)).alias("source_month"),
-        loaded.cast("timestamp_ntz").alias("loaded_at"),
-    )
+    return _audited(spark.read.parquet(path), f"DATE '{month_start(month)}'", loaded_at)
+
+
+def read_deliveries(spark: SparkSession, deliveries: dict[str, str], loaded_at: datetime | None = None) -> DataFrame:
+    """Rows of several delivered months (month -> path).
+
+    The types of a column may differ between files, which one scan cannot read. Months whose
+    files have the same layout share a scan and take their month from the file's name; a month
+    with a layout or a file name of its own is read alone.
+    """
+    months = list(deliveries)
+    files = side_by_side([lambda p=deliveries[m]: spark.read.parquet(p) for m in months])
+    scans: dict[tuple, list[str]] = {}
+    for month, df in zip(months, files, strict=True):
+        alone = None if named_month(deliveries[month]) == month else month
+        scans.setdefault((df.schema.json(), alone), []).append(month)
+    layouts = dict(zip(months, (df.schema for df in files), strict=True))
+    named = f"to_date(regexp_extract(_metadata.file_path, r'{MONTH_IN_PATH}', 1), 'yyyy-MM')"
+    parts = []
+    for together in scans.values():
+        first, paths = together[0], [deliveries[m] for m in together]
+        df = spark.read.schema(layouts[first]).parquet(*paths)
+        # A literal is cheaper than looking at every row's file name.
+        month = named if len(together) > 1 else f"DATE '{month_start(first)}'"
+        parts.append(_audited(df, month, loaded_at))
+    return reduce(DataFrame.union, parts)
 
 
 def load_months(
@@ -55,14 +79,13 @@ def load_months(
 ) -> dict[str, int]:
     """Replace each delivered month (month -> path) in the raw table; rows loaded per month.
 
-    Every month is read on its own because the types of a column may differ between files,
-    and all of them are written by one job. Repeating a load gives the same table.
+    All months are written by one job. Repeating a load gives the same table.
     """
     starts = {month: month_start(month) for month in deliveries}
-    frames = [read_month(spark, path, month, loaded_at) for month, path in deliveries.items()]
+    rows = read_deliveries(spark, deliveries, loaded_at)
     before = month_counts(spark, table, starts)
-    # A task reads files of one month only, so no shuffle is needed before the write.
-    tables.write_months(reduce(DataFrame.union, frames), table, starts.values(), gather=False)
+    # A task reads whole files or pieces of one, so rows of a month need no gathering.
+    tables.write_months(rows, table, starts.values(), gather=False)
     after = month_counts(spark, table, starts)
     for month in deliveries:
         log.info("raw trips %s: replaced %s old rows with %s new rows", month, before[month], after[month])
