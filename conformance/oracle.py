@@ -229,7 +229,7 @@ def all_sql() -> dict[str, str]:
                 o_totalprice AS fare_amount, o_totalprice AS "Airport_fee", {null_columns}
             FROM orders""",
         "load_month_replace": _sql(_FEED, "SELECT * REPLACE (TIMESTAMP '2025-01-01' AS loaded_at) FROM feed"),
-        "load_month_rerun": _sql(["once"], _MONTH_TOTALS.format(source="once")),
+        "load_month_rerun": _sql(_FEED, _MONTH_TOTALS.format(source="feed")),
         "load_other_month_untouched": _sql(
             _FEED,
             _MONTH_TOTALS.format(
