@@ -257,7 +257,7 @@ def all_sql() -> dict[str, str]:
                UNION ALL SELECT trip_id, NULL::INT, tip_amount, source_month, 'desk' FROM corrections""",
         ),
         "mart_table_rebuild": _sql([*_FACT, "daily"], _DAILY_ROUNDED),
-        "stage_trips_valid": _sql(_STAGED, "SELECT * FROM staged"),
+        "stage_trips": _sql(_STAGED, "SELECT * FROM staged"),
         "drop_counts_by_rule": _sql(
             [*_FEED, "typed", "staged"],
             """SELECT count(*) AS rows,
@@ -284,9 +284,9 @@ def all_sql() -> dict[str, str]:
             SELECT l_orderkey, (l_orderkey / 1000.0::DOUBLE
                 * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END)::DECIMAL(10,2) AS amount
             FROM lineitem""",
-        "stage_zone_lookup": _sql(["zones"], "SELECT * FROM zones"),
-        "zone_dimension": _sql(["zones", "dim"], "SELECT * FROM dim"),
-        "enrich_trips_with_zones": _sql(
+        "stage_zones": _sql(["zones"], "SELECT * FROM zones"),
+        "dim_zones": _sql(["zones", "dim"], "SELECT * FROM dim"),
+        "enrich_trips": _sql(
             [*_MEASURED, "zones"],
             """SELECT m.* REPLACE (round(trip_distance_miles, 6) AS trip_distance_miles,
                     round(duration_minutes, 6) AS duration_minutes, round(avg_speed_mph, 6) AS avg_speed_mph,
@@ -442,7 +442,7 @@ def all_sql() -> dict[str, str]:
                         THEN 'lowest' END AS extreme
             FROM hourly""",
         ),
-        "sample_rows": "SELECT * FROM orders ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 200",
+        "sample_fixed": "SELECT * FROM orders ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 200",
         "run_months_state": _sql(
             _FACT,
             """SELECT source_month, raw_rows, trips, revenue

@@ -33,7 +33,8 @@ _queries: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    _queries[function.__name__] = function
+    """Register under the function's name; a trailing underscore tells it from the operator's."""
+    _queries[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -206,7 +207,7 @@ def arrival_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stage_trips_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_trips_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, sf_dir)
 
 
@@ -240,12 +241,12 @@ def money_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stage_zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stage_zones_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_zones(spark, sf_dir)
 
 
 @query
-def zone_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dim_zones_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_zones(staged_zones(spark, sf_dir))
 
 
@@ -253,7 +254,7 @@ def zone_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def enrich_trips_with_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enrich_trips_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(enrich_trips(staged(spark, sf_dir), staged_zones(spark, sf_dir)))
 
 
@@ -532,7 +533,7 @@ def report_tip_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sample_fixed_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_fixed(table(spark, sf_dir, "orders"), 200, ["o_orderkey"])
 
 

@@ -10,10 +10,10 @@ MAX_TEXT_BYTES = 64 << 20
 
 
 def is_small(dim: DataFrame, max_rows: int = MAX_ROWS, max_text_bytes: int = MAX_TEXT_BYTES) -> bool:
-    """Whether a dimension stays below a row and a byte bound; at most ``max_rows + 1`` rows are looked at."""
+    """Whether a dimension stays within a row and a byte bound; counted per task and added up."""
     text = [F.coalesce(F.octet_length(name), F.lit(0)) for name, dtype in dim.dtypes if dtype == "string"]
     width = sum(text, F.lit(0)).cast("bigint")
-    rows, size = dim.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    rows, size = dim.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_text_bytes
 
 

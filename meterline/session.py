@@ -27,6 +27,8 @@ SETTINGS = {
 }
 
 SHUFFLE_BYTES_PER_PARTITION = 128 << 20
+# Beyond this the bookkeeping of a shuffle costs more than larger, spilling partitions do.
+MAX_SHUFFLE_PARTITIONS = 20_000
 # Parquet on disk against rows in a shuffle.
 SHUFFLE_EXPANSION = 3
 
@@ -81,7 +83,7 @@ def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[None]:
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     wanted = -(-input_bytes * SHUFFLE_EXPANSION // SHUFFLE_BYTES_PER_PARTITION)
-    spark.conf.set(key, str(max(int(before), wanted)))
+    spark.conf.set(key, str(max(int(before), min(wanted, MAX_SHUFFLE_PARTITIONS))))
     try:
         yield
     finally:
