@@ -139,17 +139,15 @@ def build_fact(
     """
     raw = tables.read_table(spark, raw_path)
     available = tables.stored_months(spark, raw_path)
-    if not tables.stored_months(spark, fact_path):
-        touched = available
+    newest = last_pickup_date(spark, fact_path)
+    if newest is None:
+        touched, window = available, None
         source = raw
     elif months is not None:
-        touched = sorted(months)
+        touched, window = sorted(months), None
         source = raw.where(tables.in_months(touched))
     else:
-        if window is None:
-            newest = last_pickup_date(spark, fact_path)
-            window = (newest - timedelta(days=lookback_days), None)
-        start, end = window
+        start, end = window = window or (newest - timedelta(days=lookback_days), None)
         touched = [m for m in available if m >= start.replace(day=1) and (end is None or m < end)]
         source = in_window(raw, start, end)
     if not touched:

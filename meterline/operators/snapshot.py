@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ZONE_KEY = "location_id"
@@ -16,8 +16,9 @@ ZONE_CHECKS = ["borough", "zone", "service_zone"]
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = "dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"
 
 
-def _moment(at: datetime):
-    return F.lit(at).cast("timestamp_ntz")
+def _moment(at: datetime) -> Column:
+    # As text: a Python datetime would pass through the session time zone.
+    return F.lit(str(at)).cast("timestamp_ntz")
 
 
 def _opened(rows: DataFrame, key: str, at: datetime) -> DataFrame:

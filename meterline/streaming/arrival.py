@@ -57,8 +57,9 @@ def ingest_arrivals(
     *,
     loaded_at: datetime | None = None,
     on_loaded: Callable[[dict[str, int]], None] | None = None,
+    max_files: int = 10_000,
 ) -> StreamingQuery:
-    """Load every month that arrived since the last call, then stop."""
+    """Load every month that arrived since the last call, at most ``max_files`` per batch, then stop."""
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         months = delivered_months(batch)
@@ -68,7 +69,7 @@ def ingest_arrivals(
                 on_loaded(counts)
 
     return (
-        discover_files(spark, landing)
+        discover_files(spark, landing, max_files)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
