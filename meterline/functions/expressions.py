@@ -44,7 +44,7 @@ def cents(amount: Column) -> Column:
 
 def money(amount: Column) -> Column:
     """DECIMAL(10,2) of a DOUBLE amount, built from whole cents without parsing text."""
-    return (cents(amount).cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
+    return (cents(amount) * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
 
 
 def rounds_below_zero(amount: Column) -> Column:

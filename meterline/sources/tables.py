@@ -113,7 +113,9 @@ def write_months(df: DataFrame, path: str, months: Iterable[date], *, gather: bo
             files.delete(spark, folder)
 
 
-def upsert_by_key(batch: DataFrame, path: str, key: str, months: Iterable[date], *, ids: DataFrame | None = None) -> None:
+def upsert_by_key(
+    batch: DataFrame, path: str, key: str, months: Iterable[date], *, ids: DataFrame | None = None
+) -> None:
     """Delete the target rows whose key is in the batch, then insert the batch.
 
     Equal keys must share a month, which keeps the work inside ``months``. ``ids`` may name a

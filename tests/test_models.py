@@ -82,6 +82,19 @@ def test_staging_reaches_the_scan(spark, raw_of, tmp_path):
     assert "store_and_fwd_flag" not in plan
 
 
+@pytest.mark.parametrize("model", [stage_trips, lambda raw: fact_rows(stage_trips(raw))])
+def test_generated_loops_are_small_enough_for_java_to_compile(spark, raw_of, tmp_path, model):
+    raw_of(trip()).write.parquet(f"{tmp_path}/raw")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stages = model(spark.read.parquet(f"{tmp_path}/raw"))._jdf.queryExecution().debug().codegenToSeq()
+        sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sizes and max(sizes) < 8000
+
+
 def test_zones(spark, zone_csv):
     zones = stage_zones(read_zones(spark, zone_csv))
     rows = {r.location_id: r for r in dim_zones(zones).collect()}
