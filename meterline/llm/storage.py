@@ -15,11 +15,31 @@ from meterline.session import scratch_path
 _shipped: set[str] = set()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table written to the shared folder: computed once, and not again when executors are lost."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a table written to the shared folder: computed once, and not again when executors are lost.
+
+    The shuffle files of the write go when it ends, so disks hold those of one step at a time.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove tables of ``stored`` that nothing will read any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        for file in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = context._jvm.org.apache.hadoop.fs.Path(file)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 CHUNK_BYTES = 1 << 21
 _U = np.uint64
-_BASE, _STEP = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95
+_BASE, STEP = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -76,7 +76,7 @@ class Words:
             total = np.zeros(len(part) + 1, np.uint64)
             np.cumsum(_BYTES[_LOWER[part] if lower else part] * power[: len(part)], out=total[1:])
             s, e = self.starts[at:to] - low, self.ends[at:to] - low
-            out[at:to] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64) * _U(_STEP))
+            out[at:to] = mix((total[e] - total[s]) * inverse[s] + (e - s).astype(np.uint64) * _U(STEP))
             at = to
         return out
 
@@ -88,7 +88,7 @@ class Words:
         return at, mix(rolled[at] + _U(n))
 
 
-def roll(h: np.ndarray, n: int, step: int = _STEP) -> np.ndarray:
+def roll(h: np.ndarray, n: int, step: int = STEP) -> np.ndarray:
     """Sum of ``h[i + j] * step**j`` for j below n, from sums over windows that double in length."""
     if len(h) < n:
         return np.empty(0, np.uint64)
