@@ -11,10 +11,12 @@ Documents that agree in all rows of some band are candidates; candidates are lin
 sets have ``100 * |A & B| >= percent * |A | B|``. With 25 bands of 5 rows a pair at 0.85 is missed
 with a probability of 4e-7, at 0.9 of 5e-10; sets are held as 64-bit hashes of the runs.
 
-No bucket is expanded into pairs. Documents with equal sets count as one from the start. Then, in
-round k, about 4**k members of each bucket (in the first round the smallest) are compared with the
-others of other components, and leave the bucket; a bucket whose members are in one component by
-then is done. Each pair in a bucket is thus compared or found linked; components come out whole.
+No bucket is expanded into pairs of documents. Documents with equal sets count as one from the start. Those that
+share buckets are laid together in blocks of about ``BLOCK`` set elements, and blocks are compared with
+each other inside a task, which gives back only links that join what was apart. In round k about 4**k blocks
+of each bucket (at least one) are compared with the bucket's others, and leave it; pairs of blocks all in
+one component, or compared before, are passed over, and a bucket in one component is done. Each pair of
+documents in a bucket is thus compared or found linked; components come out whole.
 
 Defined cases: null or empty texts and texts without words have an empty set and are linked with
 nothing. Rows without id take no part: component NULL, kept. Rows that repeat an id are one
@@ -39,7 +41,7 @@ _T = BANDS * ROWS
 _U = np.uint64
 _SEEDS = mix(np.arange(1, 2 * _T + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 _LOW = _U(0xFFFFFFFF)
-GROWTH = 4
+GROWTH, BLOCK = 4, 1 << 16
 
 
 def sketch(x: np.ndarray) -> np.ndarray:
@@ -107,21 +109,58 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at, sets in _sets(batch):
             items = pa.array([x.tobytes() for x in sets], pa.binary())
-            yield pa.record_batch({"rep": batch.column("rep").slice(at, len(sets)), "items": items})
-
-
-def _linked(percent: int):
+            yield pa.record_batch({**{c: batch.column(c).slice(at, len(sets)) for c in ("rep", "block")}, "items": items})
+
+
+def _links(a: list[np.ndarray], b: list[np.ndarray], same: bool, percent: int) -> Iterator[tuple[int, int]]:
+    """Places of linked sets, one in each list; with ``same``, one list with itself."""
+    n_b = np.array([len(x) for x in b], np.int64)
+    items, owner = np.concatenate(b), np.repeat(np.arange(len(b)), n_b)
+    order = np.argsort(items, kind="stable")
+    items, owner = items[order], owner[order]
+    for i, x in enumerate(a):
+        fits = 100 * np.minimum(len(x), n_b) >= percent * np.maximum(len(x), n_b)
+        if same:
+            fits[: i + 1] = False
+        if fits.any():
+            low, high = np.searchsorted(items, x, "left"), np.searchsorted(items, x, "right")
+            n = high - low
+            at = np.arange(n.sum()) + np.repeat(low - (np.cumsum(n) - n), n)
+            both = np.bincount(owner[at], minlength=len(b))
+            for j in np.flatnonzero(fits & (100 * both >= percent * (len(x) + n_b - both))):
+                yield i, int(j)
+
+
+def _joining(links: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Of the links between two lists, those that join what the links before left apart."""
+    up: dict = {}
+
+    def top(x):
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for a, b in links:
+        x, y = top(a), top(b)
+        if x != y:
+            up[x] = y
+            yield a, b
+
+
+def _compared(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for a, b in zip(batch.column("a_items"), batch.column("b_items")):
-                x, y = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                both = int((y[np.minimum(at, len(y) - 1)] == x).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for row in batch.to_pylist():
+                a = row["a_sets"]
+                b = row["b_sets"] or a
+                sets = [[np.frombuffer(x["items"], np.uint64) for x in side] for side in (a, b)]
+                same, reps = row["b_sets"] is None, [x["rep"] for x in a] + [x["rep"] for x in b]
+                shift = 0 if same else len(a)
+                links = ((i, j + shift) for i, j in _links(*sets, same, percent))
+                found = [(reps[i], reps[j]) for i, j in _joining(links)]
+                yield pa.record_batch(
+                    {"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())}
+                )
 
     return run
 
@@ -179,55 +218,61 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def _blocks(body: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """bucket, block, rep of each member; block and its sets (rep, items)."""
+    # Near duplicates share the smallest head of their buckets.
+    homes = stored(members.groupBy("rep", "n").agg(F.min("lead").alias("home")), "homes")
+    parts = homes.groupBy("home").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
+    block = F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.col("parts")))
+    homes = stored(homes.join(parts, "home").select("rep", block.alias("block")), "homes")
+    wanted = body.join(homes.select(F.col("rep").alias("doc_id"), "block"), "doc_id")
+    wanted = wanted.select(F.col("doc_id").alias("rep"), "block", "body")
+    sets = mapped(wanted, _hashed, "rep long, block long, items binary")
+    sets = sets.groupBy("block").agg(F.collect_list(F.struct("rep", "items")).alias("sets"))
+    return stored(members.select("bucket", "rep").join(homes, "rep"), "members"), stored(sets, "sets")
+
+
 def _components_of(body: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """rep, component of each class that is linked with another; rep: smallest id of the class."""
     buckets = classes.select("rep", "n", F.explode("bands").alias("bucket"))
-    heads = buckets.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("lead"), F.count(F.lit(1)).alias("size"))
-    members = stored(buckets.join(heads.where("size > 1"), "bucket"), "members")
-    wanted = body.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-    sets = stored(mapped(wanted.select(F.col("doc_id").alias("rep"), "body"), _hashed, "rep long, items binary"), "sets")
-    fits = F.expr(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
-    pairs = members.select(
-        F.col("lead.rep").alias("a"), F.col("lead.n").alias("a_n"), F.col("rep").alias("b"), F.col("n").alias("b_n")
-    )
-    members = members.where("rep <> lead.rep").select("bucket", "rep", "n")
-    links, compared, turn = [], None, 0
+    heads = buckets.groupBy("bucket").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("size"))
+    members, sets = _blocks(body, stored(buckets.join(heads.where("size > 1").drop("size"), "bucket"), "members"))
+    links, seen, found, turn = None, None, None, 0
     while True:
-        pairs = pairs.where(fits & (F.col("a") != F.col("b"))).select("a", "b").distinct()
-        links.append(stored(_verified(pairs, sets, percent), "links"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionByName(more)
-        found = components(every)
-        turn += 1
-        # The rest of each bucket, without buckets whose members are in one component.
-        placed = members.join(found, "rep", "left").select(
-            "bucket", "rep", "n", F.coalesce("component", "rep").alias("component")
-        )
+        # Blocks of each bucket that still holds several components.
+        placed = members.withColumn("component", F.col("rep"))
+        if found is not None:
+            placed = members.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        placed = placed.groupBy("bucket", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         live = placed.groupBy("bucket").agg(
-            F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        members = stored(placed.join(live.where("low < high").select("bucket", "size"), "bucket"), "members")
-        if members.isEmpty():
-            return found
-        lot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(1 << 30)) * F.col("size") < F.lit(GROWTH**turn << 30)
-        leads = members.where(lot).select(
-            "bucket", F.col("rep").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_component")
-        )
-        others = members.select("bucket", F.col("rep").alias("b"), F.col("n").alias("b_n"), "component")
-        # Both in the lot: once, smaller id first.
-        pairs = leads.join(others, "bucket").where("a_component <> component")
-        pairs = pairs.select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "a_n", "b_n"
-        )
-        members = members.where(~lot).select("bucket", "rep", "n")
+            F.count(F.lit(1)).alias("size"), F.min("block").alias("first"),
+            F.min("low").alias("least"), F.max("high").alias("most"),
+        )
+        placed = stored(placed.join(live.where("least < most").drop("least", "most"), "bucket"), "placed")
+        if placed.isEmpty():
+            return found if found is not None else members.select("rep", F.col("rep").alias("component")).limit(0)
+        lot = F.pmod(F.xxhash64("block", F.lit(turn)), F.lit(1 << 30)) * F.col("size") < F.lit(GROWTH**turn << 30)
+        lot = lot | (F.col("block") == F.col("first"))
+        one = placed.where(lot).select("bucket", F.col("block").alias("x"), F.col("low").alias("x_low"), F.col("high").alias("x_high"))
+        other = placed.select("bucket", F.col("block").alias("y"), "low", "high")
+        pairs = one.join(other, "bucket").where("least(low, x_low) < greatest(high, x_high)")
+        pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        pairs = stored(pairs if seen is None else pairs.join(seen, ["x", "y"], "left_anti"), "pairs")
+        new = stored(_linked(pairs, sets, percent), "links")
+        links, seen = (new, pairs) if links is None else (links.unionByName(new), seen.unionByName(pairs))
+        found = components(links)
+        rest = placed.where(~lot).select("bucket", "block")
+        members = stored(members.join(rest, ["bucket", "block"], "left_semi"), "members")
+        turn += 1
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    joined = pairs.join(sets.select(F.col("rep").alias("a"), F.col("items").alias("a_items")), "a").join(
-        sets.select(F.col("rep").alias("b"), F.col("items").alias("b_items")), "b"
-    )
-    return mapped(joined.select("a", "b", "a_items", "b_items"), _linked(percent), "a long, b long")
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the sets of each pair of blocks, as many as join them."""
+    a = sets.select(F.col("block").alias("x"), F.col("sets").alias("a_sets"))
+    b = sets.select(F.col("block").alias("y"), F.col("sets").alias("b_sets"))
+    own = pairs.where("x = y").join(a, "x").select("a_sets", F.lit(None).cast(b.schema["b_sets"].dataType).alias("b_sets"))
+    two = pairs.where("x <> y").join(a, "x").join(b, "y").select("a_sets", "b_sets")
+    return mapped(own, _compared(percent), "a long, b long").unionByName(mapped(two, _compared(percent), "a long, b long"))
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
