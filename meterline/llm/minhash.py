@@ -13,7 +13,7 @@ with a probability of 4e-7, at 0.9 of 5e-10; sets are held as 64-bit hashes of t
 
 No bucket is expanded into pairs of documents. Documents with equal sets count as one from the start. Those that
 share buckets are laid together in blocks of about ``BLOCK`` set elements, and blocks are compared with
-each other inside a task, which gives back only links that join what was apart. In round k about 4**k blocks
+each other inside a task, which gives back only links that join what was apart. In round k about 16**k blocks
 of each bucket (at least one) are compared with the bucket's others, and leave it; pairs of blocks all in
 one component, or compared before, are passed over, and a bucket in one component is done. Each pair of
 documents in a bucket is thus compared or found linked; components come out whole.
@@ -41,7 +41,7 @@ _T = BANDS * ROWS
 _U = np.uint64
 _SEEDS = mix(np.arange(1, 2 * _T + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 _LOW = _U(0xFFFFFFFF)
-GROWTH, BLOCK = 4, 1 << 16
+GROWTH, BLOCK = 16, 1 << 16
 
 
 def sketch(x: np.ndarray) -> np.ndarray:
@@ -131,20 +131,19 @@ def _links(a: list[np.ndarray], b: list[np.ndarray], same: bool, percent: int) -
                 yield i, int(j)
 
 
-def _joining(links: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """Of the links between two lists, those that join what the links before left apart."""
-    up: dict = {}
+def _stars(links: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """The smallest id of each group of linked ids, and each other id of it."""
+    up: dict[int, int] = {}
 
-    def top(x):
+    def top(x: int) -> int:
         while up.setdefault(x, x) != x:
             up[x] = x = up[up[x]]
         return x
 
     for a, b in links:
-        x, y = top(a), top(b)
-        if x != y:
-            up[x] = y
-            yield a, b
+        x, y = sorted((top(a), top(b)))
+        up[y] = x
+    return ((top(x), x) for x in list(up) if top(x) != x)
 
 
 def _compared(percent: int):
@@ -156,8 +155,7 @@ def _compared(percent: int):
                 sets = [[np.frombuffer(x["items"], np.uint64) for x in side] for side in (a, b)]
                 same, reps = row["b_sets"] is None, [x["rep"] for x in a] + [x["rep"] for x in b]
                 shift = 0 if same else len(a)
-                links = ((i, j + shift) for i, j in _links(*sets, same, percent))
-                found = [(reps[i], reps[j]) for i, j in _joining(links)]
+                found = list(_stars((reps[i], reps[j + shift]) for i, j in _links(*sets, same, percent)))
                 yield pa.record_batch(
                     {"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())}
                 )
@@ -173,23 +171,21 @@ def _body(docs: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Edges (a, b) between ids -> id, component: the smallest id reachable.
+    """Edges (a, b) between ids -> rep, component: the smallest id reachable.
 
-    Each round takes the smallest label among the neighbours and then that label's own label, until
-    nothing changes; a star takes two rounds, a long chain about the logarithm of its length.
+    Each round takes the smallest label among an id and its neighbours and then that label's own label, until
+    no label falls any more; stars take two rounds, a long chain about the logarithm of its length.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
-    labels = stored(both.groupBy("a").agg(F.least("a", F.min("b")).alias("l")), "labels")
+    both = edges.select("a", "b").union(edges.select("b", "a"))
+    both = stored(both.union(edges.select("a", F.col("a").alias("b"))).union(edges.select("b", F.col("b").alias("a"))).distinct(), "edges")
+    labels, total = stored(both.groupBy("a").agg(F.min("b").alias("l")), "labels"), None
     while True:
-        near = both.join(labels.select(F.col("a").alias("b"), "l"), "b").groupBy("a").agg(F.min("l").alias("m"))
-        step = labels.join(near, "a").select("a", F.col("l").alias("old"), F.least("l", "m").alias("l"))
+        near = both.join(labels.select(F.col("a").alias("b"), "l"), "b").groupBy("a").agg(F.min("l").alias("l"))
         jump = labels.select(F.col("a").alias("l"), F.col("l").alias("next"))
-        new = stored(
-            step.join(jump, "l", "left").select("a", "old", F.least("l", F.coalesce("next", "l")).alias("l")), "labels"
-        )
-        if new.where("l <> old").isEmpty():
-            return new.select(F.col("a").alias("rep"), F.col("l").alias("component"))
-        labels = new.select("a", "l")
+        labels = stored(near.join(jump, "l").select("a", F.least("l", "next").alias("l")), "labels")
+        before, total = total, labels.agg(F.sum(F.col("l").cast("decimal(38,0)"))).head()[0]
+        if total == before:
+            return labels.select(F.col("a").alias("rep"), F.col("l").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -225,7 +221,8 @@ def _blocks(body: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = homes.groupBy("home").agg(F.ceil(F.sum("n") / BLOCK).alias("parts"))
     block = F.xxhash64("home", F.pmod(F.xxhash64("rep"), F.col("parts")))
     homes = stored(homes.join(parts, "home").select("rep", block.alias("block")), "homes")
-    wanted = body.join(homes.select(F.col("rep").alias("doc_id"), "block"), "doc_id")
+    # Texts are large at any size of the other side, so both sides are shuffled however small it is.
+    wanted = body.join(homes.select(F.col("rep").alias("doc_id"), "block").hint("merge"), "doc_id")
     wanted = wanted.select(F.col("doc_id").alias("rep"), "block", "body")
     sets = mapped(wanted, _hashed, "rep long, block long, items binary")
     sets = sets.groupBy("block").agg(F.collect_list(F.struct("rep", "items")).alias("sets"))
