@@ -79,7 +79,7 @@ def segments(files: DataFrame) -> DataFrame:
     """file (columns key, path), segment, words: all words of each segment with any."""
     lines, paragraphs = F.split("text", "\n", -1), F.split("text", r"\n[\x20\t\r]*\n", -1)
     whole = F.when(F.col("path").rlike(_LICENCE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
-    rows = files.where("text IS NOT NULL").select("key", F.posexplode(F.concat(lines, paragraphs, whole)))
+    rows = files.where("text IS NOT NULL").select("key", F.posexplode_outer(F.concat(lines, paragraphs, whole)))
     rows = rows.select("key", F.col("pos").alias("segment"), _words(F.col("col")).alias("words"))
     return rows.where(F.size("words") > 0)
 

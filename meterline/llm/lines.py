@@ -75,7 +75,7 @@ def _keys(text: Column) -> tuple[Column, Column]:
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, gone: the chunks (from 0) of each document to be removed."""
-    chunks = with_chunks(_rows(docs).where("text IS NOT NULL")).select("doc_id", "text_hash", F.posexplode("chunks"))
+    chunks = with_chunks(_rows(docs).where("text IS NOT NULL")).select("doc_id", "text_hash", F.posexplode_outer("chunks"))
     chunks = chunks.where((F.col("col.lines") >= MIN_LINES) & F.col("col.text").rlike(r"[^\x20\x09-\x0D]"))
     chunks = chunks.select("doc_id", "text_hash", F.col("pos").alias("chunk"), F.col("col.text").alias("text"))
     groups = chunks.groupBy("text").agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"))
