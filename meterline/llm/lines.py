@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.llm.storage import stored
+
 WINDOW, DIVISOR, MIN_LINES = 3, 3, 2
 _BASE = 31
 
@@ -90,16 +92,16 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
 
 def without_repeated_chunks(docs: DataFrame) -> DataFrame:
     """row (all columns as they came), n_lines, n_removed (lines), kept_text for each row."""
-    text = F.col("text").cast("string")
+    gone = stored(repeated_chunks(docs), "gone")
     whole = docs.select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash")
-    )
-    gone = repeated_chunks(docs)
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
+    )
     joined = whole.join(
         gone.select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone"),
         F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")),
         "left",
-    ).select("row", "text", "gone")
+    ).select("row", F.col("row.text").cast("string").alias("text"), "gone")
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.length("text") - F.length(F.translate("text", "\n", "")) + 1)
     same = joined.where("gone IS NULL").select(
         "row", n_lines.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept_text")

@@ -47,36 +47,30 @@ _SEGMENT = "file int, segment int, n_ids long, doc_ids array<long>, payload bina
 
 
 def _packed(values: np.ndarray, width: int) -> bytes:
-    if not width:
-        return b""
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & 1
-    return np.packbits(bits.astype(np.uint8).ravel(), bitorder="little").tobytes()
+    """The low ``width`` bits of each value, highest first."""
+    bits = np.unpackbits(values.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
+    return np.packbits(bits[:, 32 - width :]).tobytes()
 
 
 def _unpacked(data: bytes, width: int, n: int) -> np.ndarray:
-    if not width:
-        return np.zeros(n, np.uint32)
-    bits = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width, bitorder="little").reshape(n, width)
-    weights = np.left_shift(np.uint32(1), np.arange(width, dtype=np.uint32))
-    out = np.zeros(n, np.uint32)
-    for k in range(width):
-        out |= bits[:, k].astype(np.uint32) * weights[k]
-    return out
+    bits = np.zeros((n, 32), np.uint8)
+    if width:
+        bits[:, 32 - width :] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width).reshape(n, width)
+    return np.packbits(bits, axis=1).view(">u4").ravel().astype(np.uint32)
 
 
 def encode_block(ids: np.ndarray) -> bytes:
     low = ids.min()
     rest = ids - low
-    usual = np.partition(rest, min(len(rest) - 1, len(rest) * PERCENTILE // 100))
-    width = int(usual[min(len(rest) - 1, len(rest) * PERCENTILE // 100)]).bit_length()
+    place = min(len(rest) - 1, len(rest) * PERCENTILE // 100)
+    width = int(np.partition(rest, place)[place]).bit_length()
     over = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.empty(0, np.int64)
-    mask = np.uint32((1 << width) - 1)
     return b"".join(
         [
             struct.pack("<IBH", int(low), width, len(over)),
             over.astype("<u2").tobytes(),
             (rest[over] >> np.uint32(min(width, 31))).astype("<u4").tobytes(),
-            _packed(rest & mask, width),
+            _packed(rest, width),
         ]
     )
 
