@@ -23,6 +23,8 @@ CARD = 1
 # Fixed service zones that are airports.
 AIRPORT_SERVICE_ZONES = ("Airports", "EWR")
 
+# The largest DECIMAL(10,2).
+MAX_MONEY = 99_999_999.99
 MAX_PLAUSIBLE_MPH = 100
 MIN_SPEED_MINUTES = 1
 
@@ -37,14 +39,18 @@ def cents(amount: Column) -> Column:
     """Whole cents of a DOUBLE amount, halves away from zero.
 
     Works on the binary value times 100, so 1.005 is 100 cents. Going through the printed
-    decimal, as a plain cast does, would give 101.
+    decimal, as a plain cast does, would give 101. For finite amounts.
     """
     return F.round(amount * F.lit(100.0)).cast("bigint")
 
 
 def money(amount: Column) -> Column:
-    """DECIMAL(10,2) of a DOUBLE amount, built from whole cents without parsing text."""
-    return (cents(amount) * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
+    """DECIMAL(10,2) of a DOUBLE amount, built from whole cents without parsing text.
+
+    NULL for NaN, infinities and amounts of more than eight digits before the point.
+    """
+    exact = (cents(amount) * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
+    return F.when(F.abs(amount) < F.lit(99_999_999.995), exact)
 
 
 def rounds_below_zero(amount: Column) -> Column:
@@ -60,11 +66,12 @@ def rounds_above(amount: Column, high: float) -> Column:
 def number_text(value: Column) -> Column:
     """Text of a DOUBLE in shortest form, without an exponent from 1e-4 up to 1e16.
 
-    Spark's own cast switches to an exponent below 1e-3 and from 1e7 on.
+    Spark's own cast switches to an exponent below 1e-3 and from 1e7 on. Beyond the range its text, as
+    unique as any other, stays.
     """
     text = value.cast("string")
-    plain = F.regexp_replace(text.cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
+    plain = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.contains(text, F.lit("E")), F.coalesce(plain, text)).otherwise(text)
 
 
 def trip_key() -> Column:

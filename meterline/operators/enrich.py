@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions import expressions as X
-from meterline.operators.lookup import broadcast_if_small
 
 
 def derive_measures(trips: DataFrame) -> DataFrame:
@@ -22,7 +21,7 @@ def derive_measures(trips: DataFrame) -> DataFrame:
 
 def add_zone_names(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Names of the pickup and dropoff zones; a trip with an unknown zone stays, with NULL names."""
-    names = broadcast_if_small(zones.select("location_id", "borough", "zone"))
+    names = zones.select("location_id", "borough", "zone")
     for role in ("pickup", "dropoff"):
         lookup = names.select(
             F.col("location_id").alias(f"{role}_location_id"),

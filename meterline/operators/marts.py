@@ -12,7 +12,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from meterline.functions.expressions import safe_divide
-from meterline.operators.lookup import is_small
 
 CELL_KEYS = ["source_month", "pickup_date", "pickup_hour", "pickup_location_id"]
 
@@ -93,20 +92,11 @@ def mart_hourly_demand(cells: DataFrame) -> DataFrame:
     )
 
 
-def _rank_in_one_window(zones: DataFrame) -> DataFrame:
-    """For a checked number of zones: every zone in one window."""
-    return zones.select(
-        "*",
-        F.rank().over(W.orderBy(F.desc("trip_count"))).cast("bigint").alias("trip_count_rank"),
-        F.sum("trip_count").over(W.partitionBy()).alias("all_trips"),
-    )
-
-
-def _rank_by_frequency(zones: DataFrame) -> DataFrame:
-    """For any number of zones: rank the distinct trip counts and look each zone's up.
+def _ranked(zones: DataFrame) -> DataFrame:
+    """Rank and total of any number of zones: the distinct trip counts are ranked, and each zone's is looked up.
 
     n distinct counts need at least n * (n + 1) / 2 trips, so a million million trips have
-    under 1.5 million of them: few enough for one window and for a broadcast.
+    under 1.5 million of them: few enough for one window.
     """
     higher = W.orderBy(F.desc("trip_count")).rowsBetween(W.unboundedPreceding, -1)
     ranks = (
@@ -118,17 +108,14 @@ def _rank_by_frequency(zones: DataFrame) -> DataFrame:
             F.sum(F.col("zones") * F.col("trip_count")).over(W.partitionBy()).alias("all_trips"),
         )
     )
-    return zones.join(F.broadcast(ranks), "trip_count")
+    return zones.join(ranks, "trip_count")
 
 
-def mart_zone_performance(cells: DataFrame, dim: DataFrame, *, small: bool | None = None) -> DataFrame:
+def mart_zone_performance(cells: DataFrame, dim: DataFrame) -> DataFrame:
     """Pickup zone leaderboard. Zones missing from the dimension vanish, from the shares too."""
-    small = is_small(dim) if small is None else small
     names = dim.select("location_id", "borough", "zone")
     by_zone = _merged(cells, "pickup_location_id").withColumnRenamed("pickup_location_id", "location_id")
-    zones = by_zone.join(F.broadcast(names) if small else names, "location_id")
-    ranked = _rank_in_one_window(zones) if small else _rank_by_frequency(zones)
-    return ranked.select(
+    return _ranked(by_zone.join(names, "location_id")).select(
         "location_id",
         "borough",
         "zone",

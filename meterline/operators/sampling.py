@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 
 from meterline.sources.tables import export_parquet
 
-# Above this many rows per sampled row, rows are cut by their draw before they are sorted.
-_CUT_FROM = 50
-
-
 def _below(share: float) -> str:
     """Hex text that a uniformly drawn md5 is below with probability ``share``."""
     return format(min(int(share * 16**12), 16**12 - 1), "012x") if share < 1 else "g"
@@ -21,15 +17,14 @@ def _below(share: float) -> str:
 def sample_fixed(df: DataFrame, n: int, identity: list[str], seed: int = 42) -> DataFrame:
     """``n`` rows (all, if there are fewer), drawn uniformly by a hash of the columns that identify a row.
 
-    The draw does not depend on how the rows are partitioned. Sorting keeps n rows per task, so
-    for large inputs rows with a high draw are cut first. The cut is only used when enough rows
-    are below it, hence never changes the result.
+    The draw does not depend on how the rows are partitioned. Rows with a high draw are cut before
+    the sort. The cut is only used when enough rows are below it, hence never changes the result.
     """
     draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(c).cast("string") for c in identity)))
     drawn = df.withColumn("_draw", draw)
     total = df.count()
     share = (n + 6 * math.sqrt(n) + 10) / max(total, 1)
-    while total > n * _CUT_FROM and share < 1:
+    while share < 1:
         cut = F.col("_draw") < _below(share)
         # Reads the identifying columns only.
         if drawn.where(cut).count() >= n:
@@ -40,9 +35,14 @@ def sample_fixed(df: DataFrame, n: int, identity: list[str], seed: int = 42) ->
 
 
 def sample_files(spark: SparkSession, path: str, n: int, seed: int = 42) -> DataFrame:
-    """Sample of Parquet rows, identified by file and position, so equal rows are drawn independently."""
+    """Sample of Parquet rows, identified by file and position, so equal rows are drawn independently.
+
+    A file is named by its path below ``path``: tasks give their files the same name in every partition folder.
+    """
     rows = spark.read.parquet(path)
-    placed = rows.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    root = path.rstrip("/").rpartition("/")[2]
+    file = F.substring_index(F.col("_metadata.file_path"), f"{root}/", -1)
+    placed = rows.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return sample_fixed(placed, n, ["_file", "_row"], seed).select(*rows.columns)
 
 

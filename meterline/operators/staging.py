@@ -26,12 +26,13 @@ def cleaning_conditions(rules: CleaningRules = CleaningRules()) -> dict[str, Col
     """What a raw row must satisfy, by rule. NULL and NaN count as a failure.
 
     Money counts with the value it has as DECIMAL(10,2), but no decimal is built to decide on a row.
+    A tip that this type cannot hold counts as missing.
     """
     pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
     fare, total, tip, miles = (F.col(c) for c in ("fare_amount", "total_amount", "tip_amount", "trip_distance"))
     negative = X.rounds_below_zero(F.least(fare, total, tip))
     return {
-        "required": reduce(and_, [F.col(c).isNotNull() for c in REQUIRED], ~F.isnan(tip)),
+        "required": reduce(and_, [F.col(c).isNotNull() for c in REQUIRED], ~X.rounds_above(tip, X.MAX_MONEY)),
         "not_negative": ~negative & (miles >= 0),
         "fare_cap": ~X.rounds_above(fare, rules.max_fare_usd),
         "total_cap": ~X.rounds_above(total, rules.max_fare_usd),

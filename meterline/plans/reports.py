@@ -51,12 +51,15 @@ def busiest_zones(zones: DataFrame, n: int = 10) -> DataFrame:
 
 
 def tip_by_hour(hourly: DataFrame) -> DataFrame:
-    """Weighted tip percentage per hour, the highest and lowest hour marked; hours may be missing."""
+    """Weighted tip percentage per hour, the highest and lowest hour marked; hours may be missing.
+
+    A single known hour is the highest.
+    """
     series = hourly.select("pickup_hour", "weighted_tip_pct")
     known = series.where(F.col("weighted_tip_pct").isNotNull())
     marks = [
         _first(known, "highest", F.desc("weighted_tip_pct"), F.asc("pickup_hour")),
         _first(known, "lowest", F.asc("weighted_tip_pct"), F.asc("pickup_hour")),
     ]
-    marked = reduce(DataFrame.unionByName, marks).groupBy("pickup_hour").agg(F.max("extreme").alias("extreme"))
+    marked = reduce(DataFrame.unionByName, marks).groupBy("pickup_hour").agg(F.min("extreme").alias("extreme"))
     return series.join(marked, "pickup_hour", "left").orderBy("pickup_hour")

@@ -59,6 +59,12 @@ def in_months(months: Iterable[date]):
     return F.col(MONTH).isin([F.lit(m) for m in sorted(months)])
 
 
+def _only(months: Iterable[date]):
+    """The month column; a row of another month, or of none, is an error."""
+    stray = F.concat(F.lit("row outside the listed months: "), F.coalesce(F.col(MONTH).cast("string"), F.lit("NULL")))
+    return F.when(in_months(months), F.col(MONTH)).otherwise(F.raise_error(stray).cast("date"))
+
+
 def _store_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     if table_schema(spark, path) != schema:
         files.write_text(spark, f"{path}/{_SCHEMA_FILE}", schema.json())
@@ -94,7 +100,8 @@ def write_months(df: DataFrame, path: str, months: Iterable[date], *, gather: bo
     """Replace the given month partitions by the rows of ``df``; others stay as they are.
 
     A dynamic overwrite only touches partitions it has rows for. A listed month whose folder
-    still holds its former files after the write therefore had no rows, and is dropped.
+    still holds its former files after the write therefore had no rows, and is dropped. A row of any other
+    month fails the job before anything is replaced. Columns the table has and ``df`` lacks stay.
 
     ``gather`` brings the rows of a month together before writing; not needed where every
     task already reads one month only.
@@ -103,7 +110,9 @@ def write_months(df: DataFrame, path: str, months: Iterable[date], *, gather: bo
     present = set(months) & set(stored_months(spark, path))
     folders = {f"{path}/{MONTH}={m.isoformat()}" for m in present}
     former = {folder: files.file_names(spark, folder) for folder in folders}
-    _store_schema(spark, path, _nullable(df.schema))
+    schema = evolved_schema(table_schema(spark, path), df.schema)
+    df = conform(df, schema).withColumn(MONTH, _only(months))
+    _store_schema(spark, path, schema)
     if gather and len(months) > 1:
         # One partition per month, which adaptive execution splits again where a month is large.
         df = df.hint("rebalance", F.col(MONTH))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from meterline.session import side_by_side
 from meterline.sources import tables
-from meterline.sources.months import MONTH_IN_PATH, month_start, named_month
+from meterline.sources.months import month_start
 from meterline.sources.schemas import RAW_COLUMNS
 
 log = logging.getLogger(__name__)
@@ -18,25 +20,27 @@ log = logging.getLogger(__name__)
 _FRACTIONAL = ("double", "float", "decimal")
 
 
+def _typed(name: str, have: str | None, kind: str | None, wanted: str) -> str:
+    """SQL of one column of the layout, from the file's column of that name if it has one."""
+    if have is None:
+        return f"CAST(NULL AS {wanted}) AS `{name}`"
+    # A cast to a whole number truncates; the feed's former DOUBLE counts round half to even.
+    rounds = wanted == "bigint" and kind.startswith(_FRACTIONAL)
+    value = f"rint(`{have}`)" if rounds else f"`{have}`"
+    return f"CAST({value} AS {wanted}) AS `{name}`"
+
+
 def align_to_schema(df: DataFrame, columns: dict[str, str] = RAW_COLUMNS, *extra: str) -> DataFrame:
-    """Match columns whatever their case, cast them, add missing ones as NULL, drop the rest.
+    """The layout's columns with its types: names match in any case, absent ones are NULL, others go.
 
     ``extra`` are further SQL expressions to append.
     """
-    found = {name.lower(): (name, dtype) for name, dtype in df.dtypes}
-    out = []
-    for name, dtype in columns.items():
-        source, source_type = found.get(name.lower(), (None, None))
-        if source is None:
-            log.warning("Column %s not in file; loading as NULL", name)
-            value = "NULL"
-        elif dtype == "bigint" and source_type.startswith(_FRACTIONAL):
-            # Spark truncates here; the feed's former DOUBLE counts are to be rounded half to even.
-            value = f"rint(`{source}`)"
-        else:
-            value = f"`{source}`"
-        out.append(f"CAST({value} AS {dtype}) AS `{name}`")
-    return df.selectExpr(*out, *extra)
+    have = {field.lower(): (field, kind) for field, kind in df.dtypes}
+    absent = [name for name in columns if name.lower() not in have]
+    if absent:
+        log.warning("delivery lacks %s; filled with NULL", ", ".join(absent))
+    typed = (_typed(name, *have.get(name.lower(), (None, None)), wanted) for name, wanted in columns.items())
+    return df.selectExpr(*typed, *extra)
 
 
 def _audited(df: DataFrame, source_month: str, loaded_at: datetime | None) -> DataFrame:
@@ -44,34 +48,37 @@ def _audited(df: DataFrame, source_month: str, loaded_at: datetime | None) -> Da
     return align_to_schema(df, RAW_COLUMNS, f"{source_month} AS source_month", f"{loaded} AS loaded_at")
 
 
+def _scans(spark: SparkSession, path: str) -> list[DataFrame]:
+    """A delivery, file or folder, with every column that any of its files has.
+
+    Spark merges the layouts of a folder's files where their types agree; files whose types differ are
+    read in groups of one layout.
+    """
+    whole = spark.read.parquet(path)
+    files = whole.inputFiles()
+    if len(files) < 2:
+        return [whole]
+    try:
+        return [spark.read.option("mergeSchema", "true").parquet(path)]
+    except Exception as error:  # Spark's, of several classes; the message tells
+        if "merge" not in str(error).lower():
+            raise
+    layouts: dict[str, list[str]] = {}
+    for file, schema in zip(files, side_by_side([lambda f=f: spark.read.parquet(f).schema for f in files]), strict=True):
+        layouts.setdefault(schema.json(), []).append(file)
+    return [spark.read.schema(T.StructType.fromJson(json.loads(k))).parquet(*v) for k, v in layouts.items()]
+
+
 def read_month(spark: SparkSession, path: str, month: str, loaded_at: datetime | None = None) -> DataFrame:
     """Rows of one delivered month in raw layout, audit columns included."""
-    return _audited(spark.read.parquet(path), f"DATE '{month_start(month)}'", loaded_at)
+    parts = [_audited(df, f"DATE '{month_start(month)}'", loaded_at) for df in _scans(spark, path)]
+    return reduce(DataFrame.union, parts)
 
 
 def read_deliveries(spark: SparkSession, deliveries: dict[str, str], loaded_at: datetime | None = None) -> DataFrame:
-    """Rows of several delivered months (month -> path).
-
-    The types of a column may differ between files, which one scan cannot read. Months whose
-    files have the same layout share a scan and take their month from the file's name; a month
-    with a layout or a file name of its own is read alone.
-    """
-    months = list(deliveries)
-    files = side_by_side([lambda p=deliveries[m]: spark.read.parquet(p) for m in months])
-    scans: dict[tuple, list[str]] = {}
-    for month, df in zip(months, files, strict=True):
-        alone = None if named_month(deliveries[month]) == month else month
-        scans.setdefault((df.schema.json(), alone), []).append(month)
-    layouts = dict(zip(months, (df.schema for df in files), strict=True))
-    named = f"to_date(regexp_extract(_metadata.file_path, r'{MONTH_IN_PATH}', 1), 'yyyy-MM')"
-    parts = []
-    for together in scans.values():
-        first, paths = together[0], [deliveries[m] for m in together]
-        df = spark.read.schema(layouts[first]).parquet(*paths)
-        # A literal is cheaper than looking at every row's file name.
-        month = named if len(together) > 1 else f"DATE '{month_start(first)}'"
-        parts.append(_audited(df, month, loaded_at))
-    return reduce(DataFrame.union, parts)
+    """Rows of several delivered months (month -> path); the month is the delivery's, whatever its files are called."""
+    calls = [lambda m=m, p=p: read_month(spark, p, m, loaded_at) for m, p in deliveries.items()]
+    return reduce(DataFrame.union, side_by_side(calls))
 
 
 def load_months(
@@ -88,7 +95,7 @@ def load_months(
     tables.write_months(rows, table, starts.values(), gather=False)
     after = month_counts(spark, table, starts)
     for month in deliveries:
-        log.info("raw trips %s: replaced %s old rows with %s new rows", month, before[month], after[month])
+        log.info("month %s loaded: %s rows, formerly %s", month, after[month], before[month])
     return after
 
 

@@ -24,17 +24,17 @@ _UNIT = r"^(.*yellow_tripdata_(\d{4}-(?:0[1-9]|1[0-2]))\.parquet[^/]*)(?:/.*)?$"
 _LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def discover_files(spark: SparkSession, landing: str, max_files: int = 10_000) -> DataFrame:
+def discover_files(spark: SparkSession, landing: str, max_files: int | None = None) -> DataFrame:
     """Stream of landed Parquet files, one row per file, without opening any."""
-    return (
+    stream = (
         spark.readStream.format("binaryFile")
         .schema(_LISTING)
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", max_files)
-        .load(landing)
-        .select("path", "modificationTime")
     )
+    if max_files:
+        stream = stream.option("maxFilesPerTrigger", max_files)
+    return stream.load(landing).select("path", "modificationTime")
 
 
 def delivered_months(files: DataFrame) -> dict[str, str]:
@@ -57,9 +57,13 @@ def ingest_arrivals(
     *,
     loaded_at: datetime | None = None,
     on_loaded: Callable[[dict[str, int]], None] | None = None,
-    max_files: int = 10_000,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Load every month that arrived since the last call, at most ``max_files`` per batch, then stop."""
+    """Load every month that arrived since the last call, then stop.
+
+    All arrivals make one batch, so each month is loaded once; ``max_files`` splits them, and a month whose
+    files come in several batches is then loaded with each.
+    """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
         months = delivered_months(batch)

@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__
 from conformance.compare import connect, difference
+from conformance.oracle import all_sql
+from conformance.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
 LOADING = {
@@ -33,12 +35,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert __spark_entry__.queries().keys() == __spark_entry__.oracle_sql().keys()
+    assert all_queries().keys() == all_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(__spark_entry__.queries().keys() - LOADING))
+@pytest.mark.parametrize("name", sorted(all_queries().keys() - LOADING))
 def test_query(spark, duck, name):
-    assert difference(__spark_entry__.queries()[name](spark, SF), duck, __spark_entry__.oracle_sql()[name]) == ""
+    assert difference(all_queries()[name](spark, SF), duck, all_sql()[name]) == ""
 
 
 def test_entry(spark):

@@ -9,7 +9,6 @@ from meterline.operators import marts
 from meterline.operators.dims import dim_zones
 from meterline.operators.enrich import derive_measures, enrich_trips
 from meterline.operators.fact import FACT_COLUMNS, fact_rows, latest_per_key
-from meterline.operators.lookup import broadcast_if_small, is_small
 from meterline.operators.staging import REQUIRED, drop_counts, stage_trips, stage_zones
 from meterline.sources.zones import read_zones
 from tests.conftest import trip
@@ -112,12 +111,6 @@ def test_unknown_zones_keep_the_trip(spark, raw_of, zone_csv):
     assert len(row) == 30
 
 
-def test_large_dimensions_are_not_broadcast(spark):
-    dim = spark.range(100).withColumn("name", F.lit("x" * 10))
-    assert is_small(dim) and not is_small(dim, max_rows=99) and not is_small(dim, max_text_bytes=999)
-    assert "broadcast" not in broadcast_if_small(dim, max_rows=10)._jdf.queryExecution().toString().lower()
-
-
 def test_fact_columns_and_derived_values(raw_of):
     saturday = trip(
         tpep_pickup_datetime=datetime(2025, 1, 18, 23, 59), tpep_dropoff_datetime=datetime(2025, 1, 19, 0, 29)
@@ -190,7 +183,7 @@ def test_zone_mart_leaves_out_unknown_zones(spark, fact, zone_csv):
     assert board.keys() == {1, 2, 3}
     assert [board[i].trip_count_rank for i in (2, 1, 3)] == [1, 2, 2]
     assert [board[i].pct_of_all_trips for i in (2, 1, 3)] == [50.0, 25.0, 25.0]
-    many = marts.mart_zone_performance(cells, dim, small=False)
+    many = marts.mart_zone_performance(cells, dim)
     assert {r.location_id: r for r in many.collect()} == board
     assert marts.mart_zone_performance(cells, dim).dtypes == many.dtypes
 
