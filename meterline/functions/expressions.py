@@ -45,12 +45,8 @@ def cents(amount: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """DECIMAL(10,2) of a DOUBLE amount, built from whole cents without parsing text.
-
-    NULL for NaN, infinities and amounts of more than eight digits before the point.
-    """
-    exact = (cents(amount) * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
-    return F.when(F.abs(amount) < F.lit(99_999_999.995), exact)
+    """DECIMAL(10,2) of a DOUBLE amount that it can hold, built from whole cents without parsing text."""
+    return (cents(amount) * F.lit(Decimal("0.01"))).cast("decimal(10,2)")
 
 
 def rounds_below_zero(amount: Column) -> Column:
@@ -70,8 +66,8 @@ def number_text(value: Column) -> Column:
     unique as any other, stays.
     """
     text = value.cast("string")
-    plain = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
-    return F.when(F.contains(text, F.lit("E")), F.coalesce(plain, text)).otherwise(text)
+    plain = F.regexp_replace(text.cast("decimal(38,22)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.when(F.contains(text, F.lit("E")) & (F.abs(value) < F.lit(1e16)), plain).otherwise(text)
 
 
 def trip_key() -> Column:
