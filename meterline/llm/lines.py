@@ -98,7 +98,8 @@ def without_repeated_chunks(docs: DataFrame) -> DataFrame:
         F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
     )
     joined = whole.join(
-        gone.select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone"),
+        # Texts are large at any size of the other side, so both sides are shuffled however small it is.
+        gone.select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone").hint("merge"),
         F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")),
         "left",
     ).select("row", F.col("row.text").cast("string").alias("text"), "gone")
