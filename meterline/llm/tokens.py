@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from meterline.llm.words import byte_runs
 END_ID = 0
 #: A worker's units in memory; beyond it the worker starts anew.
 CACHE_UNITS = 700_000
-_LEARN = 50_000
+_LEARN = 2048
 
 
 def _marked(*ranges: tuple[int, int]) -> np.ndarray:
@@ -80,24 +81,28 @@ class Encoder:
         for at in range(0, len(units), _LEARN):
             part, n = units[at : at + _LEARN], len(self.known)
             texts = [x.decode(errors="replace") for x in part]
-            ids = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            flat = np.fromiter((i for x in ids for i in x), np.uint32)
+            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            flat = np.array(list(chain.from_iterable(x.ids for x in found)), np.uint32)
             while n + len(part) + 1 > len(self.first):
                 self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
             self.ids[self.used : self.used + len(flat)] = flat
-            self.first[n + 1 : n + 1 + len(part)] = self.used + np.cumsum([len(x) for x in ids])
+            self.first[n + 1 : n + 1 + len(part)] = self.used + np.cumsum([len(x) for x in found])
             self.used += len(flat)
             self.known.update(zip(part, range(n, n + len(part))))
 
     def _numbers(self, units: list[bytes]) -> np.ndarray:
-        new = [x for x in units if x not in self.known]
+        found = list(map(self.known.get, units))
+        new = [x for x, n in zip(units, found) if n is None]
         if len(self.known) + len(new) > CACHE_UNITS:
             self._clear()
-            new = units
-        self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+            new, found = units, [None] * len(units)
+        if new:
+            following = iter(range(len(self.known), len(self.known) + len(new)))
+            self._learn(new)
+            found = [next(following) if n is None else n for n in found]
+        return np.array(found, np.int64)
 
     def encode(self, data: np.ndarray, doc_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents, each with the end id, one after the other, and where each begins."""
@@ -106,7 +111,7 @@ class Encoder:
         units = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))]
         ).dictionary_encode()
-        at = self._numbers(units.dictionary.to_pylist())[units.indices.to_numpy()]
+        at = self._numbers(units.dictionary.to_numpy(zero_copy_only=False).tolist())[units.indices.to_numpy()]
         n = self.first[at + 1] - self.first[at]
         ends = np.concatenate([[0], np.cumsum(n)])
         docs = np.arange(len(doc_bytes))
