@@ -48,15 +48,17 @@ _SEGMENT = "file int, segment int, n_ids long, doc_ids array<long>, payload bina
 
 def _packed(values: np.ndarray, width: int) -> bytes:
     """The low ``width`` bits of each value, highest first."""
-    bits = np.unpackbits(values.astype(">u4").view(np.uint8).reshape(-1, 4), axis=1)
-    return np.packbits(bits[:, 32 - width :]).tobytes()
+    size = 2 if width <= 16 else 4
+    bits = np.unpackbits(values.astype(f">u{size}").view(np.uint8).reshape(-1, size), axis=1)
+    return np.packbits(bits[:, 8 * size - width :]).tobytes()
 
 
 def _unpacked(data: bytes, width: int, n: int) -> np.ndarray:
-    bits = np.zeros((n, 32), np.uint8)
+    size = 2 if width <= 16 else 4
+    bits = np.zeros((n, 8 * size), np.uint8)
     if width:
-        bits[:, 32 - width :] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width).reshape(n, width)
-    return np.packbits(bits, axis=1).view(">u4").ravel().astype(np.uint32)
+        bits[:, 8 * size - width :] = np.unpackbits(np.frombuffer(data, np.uint8), count=n * width).reshape(n, width)
+    return np.packbits(bits, axis=1).view(f">u{size}").ravel().astype(np.uint32)
 
 
 def encode_block(ids: np.ndarray) -> bytes:
