@@ -72,7 +72,8 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 
 def _keys(text: Column) -> tuple[Column, Column]:
-    return F.xxhash64(text).alias("k1"), F.xxhash64(text, F.lit(1)).alias("k2")
+    # The constant comes first: it then seeds the text's hash, and neither key follows from the other.
+    return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
