@@ -55,6 +55,8 @@ class RunConfig:
     test_scope: str = "all"
     # False returns failed checks in the report instead of raising.
     enforce: bool = True
+    # True runs the months one by one, each through all its checks before the next is loaded.
+    gate_each_month: bool = False
     # Months are loaded together while their files stay below this size; a larger month runs alone.
     batch_bytes: int = 64 << 30
 

@@ -103,6 +103,7 @@ def build_marts(spark: SparkSession, warehouse: Warehouse, zones: DataFrame) ->
 
 def snapshot_zones(spark: SparkSession, warehouse: Warehouse, zones: DataFrame, at: datetime) -> None:
     """Carry the zone history forward."""
+    tables.restore_interrupted(spark, warehouse.history)
     known = tables.table_exists(spark, warehouse.history)
     history = tables.read_table(spark, warehouse.history) if known else None
     tables.overwrite_table(apply_snapshot(history, zones, at), warehouse.history)
@@ -146,8 +147,19 @@ def run_months(
 
     ``zones`` is the raw zone lookup and ``paths`` overrides where a month's files lie. Small
     months share their jobs. Marts, history and checks follow once, after the last month. The
-    first failing stage raises and ends the run.
+    first failing stage raises and ends the run. With ``config.gate_each_month`` every month is a run
+    of its own: a month that fails its checks stops the catch-up, and later months are not loaded.
     """
+    if config.gate_each_month and len(months) > 1:
+        for month in months:
+            validate_month(month)
+        report = RunReport()
+        for month in months:
+            done = run_months(spark, [month], data_dir, warehouse, zones, config, paths=paths, at=at)
+            report.loaded |= done.loaded
+            report.tests = [*report.tests, *done.tests]
+            report.deliveries |= done.deliveries
+        return report
     at = at or datetime.now(timezone.utc).replace(tzinfo=None)
     paths = {validate_month(m): (paths or {}).get(m) or month_path(m, data_dir) for m in months}
     sizes = {month: files.size_in_bytes(spark, path) for month, path in paths.items()}

@@ -155,12 +155,31 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     _store_schema(spark, fresh, _nullable(df.schema))
     replaced = files.exists(spark, path)
     if replaced:
+        # What an earlier rebuild could not delete; a restore must find one former state only.
+        for folder in _former(spark, path):
+            files.delete(spark, folder)
         files.rename(spark, path, old)
     files.rename(spark, fresh, path)
     if replaced:
         files.delete(spark, old)
 
 
+def _former(spark: SparkSession, path: str) -> list[str]:
+    """Folders that held the table's rows before a rebuild and are still there."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return [f"{parent}/{f}" for f in files.child_folders(spark, parent) if f.startswith(f".{name}-old-")]
+
+
+def restore_interrupted(spark: SparkSession, path: str) -> None:
+    """Give a table its former state back if the driver died between the two renames of a rebuild.
+
+    Then no folder has the table's name, and the former one still stands beside it.
+    """
+    if not files.exists(spark, path):
+        for folder in _former(spark, path):
+            files.rename(spark, folder, path)
+
+
 def export_parquet(df: DataFrame, path: str) -> None:
     """Write ZSTD-compressed Parquet files."""
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)

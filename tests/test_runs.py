@@ -95,6 +95,17 @@ def test_a_poor_delivery_fails_the_run(spark, deliver, zones, warehouse, tmp_pat
         runs.run_months(spark, ["2025-01", "2025-02"], str(tmp_path), warehouse, zones, CONFIG)
 
 
+def test_a_poor_month_stops_a_gated_catch_up(spark, deliver, zones, warehouse, tmp_path):
+    for month, n in (("2025-01", 150), ("2025-02", 50), ("2025-03", 150)):
+        deliver(month, n)
+    gated = RunConfig(limits=CONFIG.limits, gate_each_month=True)
+    with pytest.raises(DataQualityError, match="failed for 2025-02: raw_row_count"):
+        runs.run_months(spark, ["2025-01", "2025-02", "2025-03"], str(tmp_path), warehouse, zones, gated, at=AT)
+    assert tables.stored_months(spark, warehouse.raw) == [date(2025, 1, 1), date(2025, 2, 1)]
+    report = runs.run_months(spark, ["2025-01", "2025-03"], str(tmp_path), warehouse, zones, gated, at=AT)
+    assert report.loaded == {"2025-01": 150, "2025-03": 150} and len(report.tests) == 2 * 52
+
+
 def test_bad_month_fails_before_anything_is_written(spark, zones, warehouse, tmp_path):
     with pytest.raises(ValueError, match="YYYY-MM"):
         runs.run_month(spark, "2025-1", str(tmp_path), warehouse, zones)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from meterline.functions import expressions as X
 from meterline.operators.sampling import sample_files
 from meterline.operators.staging import stage_trips
-from meterline.sources import tables
+from meterline.sources import files, tables
 from meterline.sources.trips import load_months
 from tests.conftest import trip
 
@@ -94,3 +94,26 @@ def test_rows_of_different_folders_are_drawn_apart(spark, tmp_path):
     drawn = sample_files(spark, path, 400).collect()
     positions = {r.id // 4 for r in drawn}
     assert len(drawn) == 400 and len(positions) > 300  # 100 if folders shared their draws
+
+
+def test_a_rebuild_that_dies_between_its_renames_keeps_the_table(spark, tmp_path, monkeypatch):
+    table = f"{tmp_path}/tables/history"
+    tables.overwrite_table(spark.range(3), table)
+    rename, calls = files.rename, []
+
+    def dies_on_the_second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("driver lost")
+        rename(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "rename", dies_on_the_second)
+        with pytest.raises(OSError, match="driver lost"):
+            tables.overwrite_table(spark.range(5), table)
+    assert not tables.table_exists(spark, table)
+    tables.restore_interrupted(spark, table)
+    assert tables.read_table(spark, table).count() == 3
+    tables.overwrite_table(spark.range(5), table)
+    tables.restore_interrupted(spark, table)
+    assert tables.read_table(spark, table).count() == 5
