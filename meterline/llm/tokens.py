@@ -1,9 +1,10 @@
 """Token ids of whole texts with the tokenizers library.
 
 A byte-level BPE file cuts a text, before any merge, in places that need no look at what stands
-further away: before a space that no white space follows, after a line end that none follows, and
-between a letter or digit and a comma or full stop. The ids of a text are therefore those of the
-units between such places, one after the other. Units repeat a great deal: the library encodes each
+further away: before a space that no white space follows, before and after a line end that none
+follows, and between a letter or digit and a comma or full stop. The ids of a text are therefore those
+of the units between such places, one after the other. The cut before a line end is left out after a sign
+of ASCII, where it changes nothing; after white space it keeps the line end from joining the rest of its run. Units repeat a great deal: the library encodes each
 once per worker, and the rest is looked up.
 """
 
@@ -33,6 +34,7 @@ def _marked(*ranges: tuple[int, int]) -> np.ndarray:
 
 # First bytes of characters that are never white space, whatever list of white space is used.
 _NOT_SPACE = _marked((0x21, 0x7E), (0xC3, 0xDF), (0xE4, 0xEE), (0xF0, 0xF4))
+_SIGN = _marked((0x21, 0x7E))
 _ALNUM = _marked((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
 # First bytes of the Latin letters of two bytes; the first of them also begins two signs.
 _LATIN = _marked((0xC3, 0xC8))
@@ -52,9 +54,11 @@ def unit_starts(data: np.ndarray, doc_bytes: np.ndarray) -> np.ndarray:
     at = np.zeros(len(data), bool)
     at[doc_bytes[:-1][np.diff(doc_bytes) > 0]] = True
     if len(data) > 1:
-        word = _NOT_SPACE[data]
-        at[:-1] |= (data[:-1] == 0x20) & word[1:]
-        at[1:] |= (data[:-1] == 0x0A) & word[1:]
+        followed = _NOT_SPACE[data[1:]] & ~at[1:]  # by a non-space of the same document
+        line_end = (data[:-1] == 0x0A) & followed
+        at[:-1] |= (data[:-1] == 0x20) & followed
+        at[1:-1] |= line_end[1:] & ~_SIGN[data[:-2]]
+        at[1:] |= line_end
         mark = np.flatnonzero((data == 0x2C) | (data == 0x2E))
         mark = mark[mark > 1]
         last, before = data[mark - 1], data[mark - 2]

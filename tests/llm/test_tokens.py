@@ -1,5 +1,6 @@
 """Token files and packing by exact round trips."""
 
+import random
 import zlib
 from collections import defaultdict
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from meterline.llm import packing, tokenfiles
+from meterline.llm.tokens import Encoder
 from meterline.session import scratch_path
 from tests.llm.samples import documents, rows
 
@@ -89,3 +91,16 @@ def test_step_groups_hold_one_size(spark):
     groups = packing.pack(documents(spark), PATH, group_ids=4096).groupBy("step_group")
     for r in groups.agg(F.countDistinct("context_size").alias("sizes"), F.sum("length").alias("ids")).collect():
         assert r.sizes == 1 and r.ids <= 4096
+
+
+def test_units_give_the_ids_of_whole_texts():
+    r = random.Random(1)
+    parts = ["\n", "\n\n", " ", "  ", "\t", "\r\n", "\x0b", "\x85", "\u00a0", "\u2028", "\u3000", "a", "foo", "bar.", ",", ".", "é",
+             "×", "÷", "漢", "3", "12", "'s", "'", "-", "!,", "ª", "²", "١", "\u0301", "ʰ", "Ǆ", "🙂"]
+    texts = ["foo\n\nbar", "a \n\n\nb", "c\t\n\nd", "ends  ", "x", "ends\n\n", "y", "\n", "\nz", ""]
+    texts += ["".join(r.choices(parts, k=r.randint(1, 9))) for _ in range(20000)]
+    data = [x.encode() for x in texts]
+    ids, first = Encoder(PATH).encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    got = [ids[a:b].tolist() for a, b in zip(first, first[1:])]
+    want = [x for _, x in encoded(zip(texts, texts))]
+    assert [t for t, g, w in zip(texts, got, want) if g != w] == []
