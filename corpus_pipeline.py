@@ -19,8 +19,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the multi-line chunks that stand elsewhere; their lengths are those of what is left."""
-    kept = lines.without_repeated_chunks(docs)
+    """All documents, without the passages that stand elsewhere; their lengths are those of what is left."""
+    kept = lines.without_repeated_chunks(docs, extend=True)
     new = {"text": F.col("kept_text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("row.n_chars"))

@@ -6,6 +6,12 @@ stands further down in another document is cut in the same places. Chunks of ``M
 more that are not blank are grouped by their bytes over all documents; one of each group stays: the first in
 the document with the smallest id. The others are removed.
 
+With ``extend``, a removed chunk is a seed: it takes along the lines before and after it that equal, one by one, those
+around the place that stays, one-line chunks included, until lines differ. The lines compared reach over the
+next chunk that could repeat; if that is equal as a whole, it is a seed itself, unless the lines above a passage
+cut its first ``WINDOW - 1`` lines differently, so as many more lines are compared on that side.
+Every line that goes stands in the same place of a passage in an earlier document, or further up in its own.
+
 Only DataFrame functions are used. Groups are counted per task before the shuffle; where the copies
 stand is found by a join on 128 bits of hash, which adaptive execution can split. A row's removed
 chunks meet in one row, as its text does.
@@ -24,6 +30,7 @@ from meterline.llm.storage import stored
 
 WINDOW, DIVISOR, MIN_LINES = 3, 3, 2
 _BASE = 31
+_NOT_BLANK = r"[^\x20\x09-\x0D]"
 
 
 def _line_hash(line: Column) -> Column:
@@ -31,8 +38,8 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
 
 
-def with_chunks(rows: DataFrame) -> DataFrame:
-    """Adds ``chunks``: array of (lines, text) that joined by line ends give the column ``text`` again."""
+def _with_spans(rows: DataFrame) -> DataFrame:
+    """Adds ``lines`` and ``spans``: array of (s, e), first line and last line + 1 of each chunk."""
     rows = rows.withColumn("lines", F.split("text", "\n", -1))
     rows = rows.withColumn("hashes", F.transform("lines", _line_hash))
     # Line i beside the lines before it: the same array, moved by one, two, ... places.
@@ -54,13 +61,54 @@ def with_chunks(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("ends", F.array_union(ends, F.array(last)))
     starts = F.concat(F.array(F.lit(0)), F.col("ends"))
     rows = rows.withColumn("spans", F.slice(F.arrays_zip(starts.alias("s"), F.col("ends").alias("e")), F.lit(1), F.size("ends")))
+    return rows.drop("hashes", "near", "ends")
+
+
+def with_chunks(rows: DataFrame) -> DataFrame:
+    """Adds ``chunks``: array of (lines, text) that joined by line ends give the column ``text`` again."""
+    rows = _with_spans(rows)
     chunk = F.transform(
         "spans",
         lambda p: F.struct(
             (p["e"] - p["s"]).alias("lines"), F.array_join(F.slice("lines", p["s"] + 1, p["e"] - p["s"]), "\n").alias("text")
         ),
     )
-    return rows.withColumn("chunks", chunk).drop("hashes", "near", "ends", "spans")
+    return rows.withColumn("chunks", chunk).drop("spans")
+
+
+def _with_surroundings(rows: DataFrame) -> DataFrame:
+    """Chunks with ``before`` and ``after``, from the chunk outwards: hashes of the lines as far as they are compared."""
+    rows = _with_spans(rows).withColumn("hashes", F.transform("lines", lambda x: F.xxhash64(x)))
+
+    def could_repeat(p: Column) -> Column:
+        own = F.slice("lines", p["s"] + 1, p["e"] - p["s"])
+        return (p["e"] - p["s"] >= MIN_LINES) & F.exists(own, lambda x: x.rlike(_NOT_BLANK))
+
+    def bounds(spans: Column, end: Column, of: str) -> Column:
+        # For each chunk the outer bound of the last chunk before it that could repeat, in the order of ``spans``.
+        start = F.struct(F.array().cast("array<int>").alias("all"), end.cast("int").alias("last"))
+        step = F.aggregate(
+            spans, start,
+            lambda a, p: F.struct(
+                F.concat(a["all"], F.array(a["last"])).alias("all"),
+                F.when(could_repeat(p), p[of]).otherwise(a["last"]).alias("last"),
+            ),
+        )
+        return step["all"]
+
+    froms = bounds(F.col("spans"), F.lit(0), "s")
+    rows = rows.withColumn("froms", F.transform(froms, lambda i: F.greatest(i - (WINDOW - 1), F.lit(0))))
+    rows = rows.withColumn("tos", F.reverse(bounds(F.reverse("spans"), F.size("lines"), "e")))
+    chunk = F.transform(
+        F.arrays_zip("spans", "froms", "tos"),
+        lambda c: F.struct(
+            (c["spans"]["e"] - c["spans"]["s"]).alias("lines"),
+            F.array_join(F.slice("lines", c["spans"]["s"] + 1, c["spans"]["e"] - c["spans"]["s"]), "\n").alias("text"),
+            F.reverse(F.slice("hashes", c["froms"] + 1, c["spans"]["s"] - c["froms"])).alias("before"),
+            F.slice("hashes", c["spans"]["e"] + 1, c["tos"] - c["spans"]["e"]).alias("after"),
+        ),
+    )
+    return rows.withColumn("chunks", chunk)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -76,24 +124,47 @@ def _keys(text: Column) -> tuple[Column, Column]:
     return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, gone: the chunks (from 0) of each document to be removed."""
-    chunks = with_chunks(_rows(docs).where("text IS NOT NULL")).select("doc_id", "text_hash", F.posexplode_outer("chunks"))
-    chunks = chunks.where((F.col("col.lines") >= MIN_LINES) & F.col("col.text").rlike(r"[^\x20\x09-\x0D]"))
-    chunks = chunks.select("doc_id", "text_hash", F.col("pos").alias("chunk"), F.col("col.text").alias("text"))
+def _agreeing(a: str, b: str) -> Column:
+    """How many elements the arrays share from their start."""
+    same = F.transform(F.arrays_zip(F.col(a).alias("a"), F.col(b).alias("b")), lambda x: x["a"].eqNullSafe(x["b"]))
+    differs = F.array_position(same, F.lit(False))
+    return F.when(differs > 0, differs - 1).otherwise(F.size(same)).cast("int")
+
+
+def repeated_chunks(docs: DataFrame, extend: bool = False) -> DataFrame:
+    """doc_id, text_hash, gone: the chunks of each document to be removed.
+
+    Each with its number (from 0) and, unless ``extend`` is false, the lines before and after it that go with it.
+    """
+    around = ["before", "after"] if extend else []
+    chunks = (_with_surroundings if extend else with_chunks)(_rows(docs).where("text IS NOT NULL"))
+    chunks = chunks.select("doc_id", "text_hash", F.posexplode_outer("chunks"))
+    chunks = chunks.where((F.col("col.lines") >= MIN_LINES) & F.col("col.text").rlike(_NOT_BLANK))
+    chunks = chunks.select(
+        "doc_id", "text_hash", F.col("pos").alias("chunk"), F.col("col.text").alias("text"), *(f"col.{c}" for c in around)
+    )
     groups = chunks.groupBy("text").agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"))
     groups = groups.where("times > 1").select(*_keys(F.col("text")), "first_doc")
-    places = chunks.select("doc_id", "text_hash", "chunk", *_keys(F.col("text"))).join(groups, ["k1", "k2"])
+    places = chunks.select("doc_id", "text_hash", "chunk", *_keys(F.col("text")), *around).join(groups, ["k1", "k2"])
     # In the document that comes first, the first of its places stays.
     own = Window.partitionBy("doc_id", "text_hash", "k1", "k2").orderBy("chunk")
     stays = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.dense_rank().over(own) == 1)
-    gone = places.select("doc_id", "text_hash", "chunk", stays.alias("stays")).where("NOT stays")
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("chunk").alias("gone"))
+    if not extend:
+        gone = places.select("doc_id", "text_hash", "chunk", stays.alias("stays")).where("NOT stays")
+        return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("chunk").alias("gone"))
+    places = stored(places.withColumn("stays", stays).drop("first_doc"), "places")
+    first = places.where("stays").groupBy("k1", "k2").agg(F.min(F.struct("text_hash", "chunk", *around)).alias("f"))
+    first = first.select("k1", "k2", F.col("f.before").alias("f_before"), F.col("f.after").alias("f_after"))
+    gone = places.where("NOT stays").join(first.hint("merge"), ["k1", "k2"]).select(
+        "doc_id", "text_hash",
+        F.struct("chunk", _agreeing("before", "f_before").alias("before"), _agreeing("after", "f_after").alias("after")).alias("g"),
+    )
+    return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("g").alias("gone"))
 
 
-def without_repeated_chunks(docs: DataFrame) -> DataFrame:
+def without_repeated_chunks(docs: DataFrame, extend: bool = False) -> DataFrame:
     """row (all columns as they came), n_lines, n_removed (lines), kept_text for each row."""
-    gone = stored(repeated_chunks(docs), "gone")
+    gone = stored(repeated_chunks(docs, extend), "gone")
     whole = docs.select(
         F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(F.col("text").cast("string")).alias("text_hash"),
@@ -108,6 +179,17 @@ def without_repeated_chunks(docs: DataFrame) -> DataFrame:
     same = joined.where("gone IS NULL").select(
         "row", n_lines.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), F.col("text").alias("kept_text")
     )
+    if extend:
+        cut = _with_spans(joined.where("gone IS NOT NULL"))
+        span = lambda g: F.get("spans", g["chunk"])
+        removed = F.transform("gone", lambda g: F.sequence(span(g)["s"] - g["before"], span(g)["e"] + g["after"] - 1))
+        kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.flatten(removed))
+        cut = cut.withColumn("kept", kept).select(
+            "row", F.size("lines").cast("long").alias("n_lines"),
+            (F.size("lines") - F.size("kept")).cast("long").alias("n_removed"),
+            F.array_join(F.transform("kept", lambda i: F.get("lines", i)), "\n").alias("kept_text"),
+        )
+        return same.unionByName(cut)
     cut = with_chunks(joined.where("gone IS NOT NULL"))
     cut = cut.withColumn("kept", F.filter("chunks", lambda c, i: ~F.array_contains("gone", i)))
     left = F.aggregate("kept", F.lit(0).cast("long"), lambda n, c: n + c["lines"])

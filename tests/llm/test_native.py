@@ -47,6 +47,40 @@ def test_lines_with_nulls_repeats_and_clashing_names(spark):
     assert lines.without_repeated_chunks(documents(spark, [])).count() == 0
 
 
+def test_seeds_take_along_the_lines_that_agree(spark):
+    shared = [f"shared line {i}" for i in range(40)]
+    data = [
+        (i, "\n".join([*(f"top {i} {k}" for k in range(5 + i)), *shared, *(f"end {i} {k}" for k in range(7))]), "en", "s", 1)
+        for i in range(6)
+    ]
+    data += [(10 + i, "\n".join(f"copy {k}" for k in range(30)), "en", "s", 1) for i in range(3)]
+    data.append((20, "\n".join(["own", *shared, "mid", *shared]), "en", "s", 1))
+    docs = documents(spark, data)
+    got = {r.row.doc_id: r for r in lines.without_repeated_chunks(docs, extend=True).collect()}
+    text = {i: t for i, t, *_ in data}
+    for i in (0, 10):
+        assert got[i].n_removed == 0 and got[i].kept_text == text[i]
+    for i in range(1, 6):
+        assert got[i].kept_text.split("\n") == [x for x in text[i].split("\n") if not x.startswith("shared")]
+    assert got[11].kept_text == got[12].kept_text == "" and got[11].n_removed == 30
+    assert got[20].kept_text == "own\nmid" and got[20].n_removed == 80
+
+
+def test_every_line_that_goes_still_stands_somewhere(spark):
+    r = np.random.default_rng(3)
+    pool = [f"w{i}" if i % 4 else "" for i in range(12)]
+    data = [(int(i) if i % 9 else None, "\n".join(r.choice(pool, r.integers(1, 60))), "en", "s", 1) for i in range(150)]
+    some = documents(spark, data + data[:3])
+    plain = {(x.row.doc_id, x.row.text): x.n_removed for x in lines.without_repeated_chunks(some).collect()}
+    got = lines.without_repeated_chunks(some, extend=True).collect()
+    assert len(got) == 153
+    for x in got:
+        assert x.n_lines - x.n_removed == (len(x.kept_text.split("\n")) if x.n_removed < x.n_lines else 0)
+        assert x.n_removed >= plain[x.row.doc_id, x.row.text]
+    assert {v for x in got for v in x.kept_text.split("\n")} >= {v for _, t, *_ in data for v in t.split("\n")}
+    assert lines.without_repeated_chunks(documents(spark, []), extend=True).count() == 0
+
+
 def test_budgets_go_to_siblings_before_ancestors(spark):
     leaves = [("a", "x", 10), ("a", "y", 1000), ("b", "x", 100), ("b", "y", 50), ("c", "x", 0)]
     frame = spark.createDataFrame(leaves, "level0 string, level1 string, supply long")
