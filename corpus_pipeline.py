@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from meterline.llm import lines, minhash, mixing, packing, quality, queries
 from meterline.llm.storage import stored
 
+# Documents that share so much of their runs of five words count as one; bands that miss such a pair with 8e-8.
+NEAR_PERCENT, NEAR_BANDS, NEAR_ROWS = 80, 31, 4
 # Of the words that are left, with no document twice.
 MIX_PERCENT, MIX_EPOCHS = 80, 1
 WEIGHTS = {"web": 5, "books": 3, "forums": 2, "web/en": 6, "books/en": 6}
@@ -30,7 +32,7 @@ def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return minhash.without_near_duplicates(docs)
+    return minhash.without_near_duplicates(docs, NEAR_PERCENT, NEAR_BANDS, NEAR_ROWS)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

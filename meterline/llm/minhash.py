@@ -9,7 +9,7 @@ as concentrated as that of independent hash functions, at a cost of n + t log t
 
 Documents that agree in all rows of some band are candidates; candidates are linked when their full
 sets have ``100 * |A & B| >= percent * |A | B|``. With 25 bands of 5 rows a pair at 0.85 is missed
-with a probability of 4e-7, at 0.9 of 5e-10; sets are held as 64-bit hashes of the runs.
+with a probability of 4e-7, at 0.9 of 5e-10; with 31 bands of 4 rows, for lower limits, one at 0.80 with 8e-8; sets are held as 64-bit hashes of the runs.
 
 No bucket is expanded into pairs of documents. Documents with equal sets count as one from the start. Those that
 share buckets are laid together in blocks of about ``BLOCK`` set elements, and blocks are compared with
@@ -60,10 +60,10 @@ def sketch(x: np.ndarray) -> np.ndarray:
     return bins
 
 
-def band_keys(bins: np.ndarray) -> np.ndarray:
+def band_keys(bins: np.ndarray, bands: int = BANDS, rows_each: int = ROWS) -> np.ndarray:
     """One 64-bit key for each band; the band's number is part of it."""
-    rows, key = mix(bins).reshape(BANDS, ROWS), np.arange(1, BANDS + 1, dtype=np.uint64)
-    for r in range(ROWS):
+    rows, key = mix(bins[: bands * rows_each]).reshape(bands, rows_each), np.arange(1, bands + 1, dtype=np.uint64)
+    for r in range(rows_each):
         key = mix(key * _U(0xD1342543DE82EF95) + rows[:, r])
     return key
 
@@ -87,22 +87,25 @@ def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, list[np.ndarray]]]:
         yield at, sets
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for at, sets in _sets(batch):
-            n = np.array([len(x) for x in sets], np.int64)
-            sums = np.array([[mix(x).sum(), mix(~x).sum()] if len(x) else [0, 0] for x in sets], np.uint64)
-            keys = [band_keys(sketch(x)) for x in sets if len(x)]
-            first = np.concatenate([[0], np.cumsum((n > 0) * BANDS)])
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id").slice(at, len(sets)),
-                    "n": n,
-                    "set1": signed(sums[:, 0]),
-                    "set2": signed(sums[:, 1]),
-                    "bands": lists(signed(np.concatenate([np.empty(0, np.uint64), *keys])), first, pa.int64()),
-                }
-            )
+def _sketched(bands: int, rows_each: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, sets in _sets(batch):
+                n = np.array([len(x) for x in sets], np.int64)
+                sums = np.array([[mix(x).sum(), mix(~x).sum()] if len(x) else [0, 0] for x in sets], np.uint64)
+                keys = [band_keys(sketch(x), bands, rows_each) for x in sets if len(x)]
+                first = np.concatenate([[0], np.cumsum((n > 0) * bands)])
+                yield pa.record_batch(
+                    {
+                        "doc_id": batch.column("doc_id").slice(at, len(sets)),
+                        "n": n,
+                        "set1": signed(sums[:, 0]),
+                        "set2": signed(sums[:, 1]),
+                        "bands": lists(signed(np.concatenate([np.empty(0, np.uint64), *keys])), first, pa.int64()),
+                    }
+                )
+
+    return run
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,11 +191,14 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("rep"), F.col("l").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id of the group), kept (is that document)."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows_each: int = ROWS) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest id of the group), kept (is that document).
+
+    ``bands * rows_each`` is at most that of the defaults.
+    """
     body = _body(docs)
     sketches = stored(
-        mapped(body, _sketched, "doc_id long, n long, set1 long, set2 long, bands array<long>"), "sketches"
+        mapped(body, _sketched(bands, rows_each), "doc_id long, n long, set1 long, set2 long, bands array<long>"), "sketches"
     )
     usable = sketches.where("n > 0 AND doc_id IS NOT NULL")
     classes = stored(
@@ -272,7 +278,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return mapped(own, _compared(percent), "a long, b long").unionByName(mapped(two, _compared(percent), "a long, b long"))
 
 
-def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows_each: int = ROWS) -> DataFrame:
     """All columns of the documents that stay: one of each group, and those without id."""
-    groups = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
+    groups = near_duplicates(docs, percent, bands, rows_each).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
     return docs.join(groups, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")

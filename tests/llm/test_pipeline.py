@@ -36,3 +36,13 @@ def test_run_on_tables(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/none/documents.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
     assert len(rows()) > 40
+
+
+def test_near_duplicates_from_80_percent_on(spark):
+    def changed(name, n):  # each change costs five runs of 196
+        return " ".join(f"x{i}" if i % 20 == 10 and i < 20 * n else f"{name}{i}" for i in range(200))
+
+    data = [(10 * k + j, changed(f"d{k}w", n), "en", "s", 1) for k in range(8) for j, n in ((0, 0), (1, 4))]  # 0.815
+    data += [(100, changed("e", 0), "en", "s", 1), (101, changed("e", 5), "en", "s", 1)]  # 0.774
+    got = corpus_pipeline.one_of_each_group(spark, documents(spark, data), "").collect()
+    assert sorted(r.doc_id for r in got) == [*(10 * k for k in range(8)), 100, 101]
