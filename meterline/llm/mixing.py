@@ -2,7 +2,8 @@
 
 The tree's levels are columns of the documents, from the widest down; its leaves are the sources. The budget
 of the root, in words, is divided among its children by their weights, theirs among their children, and so
-on. No node gets more than its leaves can give in ``epochs`` passes. What a node cannot take goes to
+on. No node gets more than its leaves
+can give in ``epochs`` passes; leaves with weight 0, or below a node of weight 0, give nothing. What a node cannot take goes to
 its siblings by their weights, as far as they can take it; since a node's limit is the sum of its
 children's, shortages reach the siblings of an ancestor only when all siblings below are full.
 
@@ -72,7 +73,11 @@ def divided(nodes: DataFrame, parent: Sequence[str]) -> DataFrame:
 
 def budgets(leaves: DataFrame, levels: Sequence[str], weights: Mapping[str, int], percent: int, epochs: int) -> DataFrame:
     """Leaves (level columns, supply) with their budgets; the root's is ``percent`` of all words."""
-    leaves = leaves.withColumn("cap", F.col("supply") * F.lit(epochs))
+    # What stands below a node of weight 0 gives nothing, so no node above counts on it.
+    closed = F.lit(False)
+    for depth in range(1, len(levels) + 1):
+        closed = closed | (_weight(F.concat_ws("/", *levels[:depth]), weights) == 0)
+    leaves = leaves.withColumn("cap", F.when(closed, F.lit(0)).otherwise(F.col("supply") * F.lit(epochs)).cast("long"))
     top = leaves.agg(F.floor(F.sum("supply") * F.lit(percent) / F.lit(100)).cast("long").alias("amount"))
     parents = top.withColumn("root", F.lit(0))
     for depth in range(1, len(levels) + 1):

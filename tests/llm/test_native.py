@@ -90,6 +90,16 @@ def test_budgets_go_to_siblings_before_ancestors(spark):
     assert budget == {("a", "x"): 10, ("a", "y"): 420, ("b", "x"): 100, ("b", "y"): 50}
 
 
+def test_words_below_weight_zero_leave_their_budget_to_others(spark):
+    leaves = [("f", "es", "x", 900), ("f", "en", "x", 100), ("w", "en", "x", 2000), ("w", "en", "y", 2000), ("b", "en", "x", 1000)]
+    frame = spark.createDataFrame(leaves, "level0 string, level1 string, level2 string, supply long")
+    got = mixing.budgets(frame, ["level0", "level1", "level2"], {"f/es": 0, "w/en/y": 0}, 50, 1).collect()
+    # Of 3000, a third each: f can give 100 only, b 1000, and w takes the rest from its x alone.
+    assert {(r.level0, r.level1, r.level2): r.budget for r in got} == {
+        ("f", "en", "x"): 100, ("b", "en", "x"): 1000, ("w", "en", "x"): 1900
+    }
+
+
 def test_mixing_takes_prefixes_of_epochs(spark):
     data = [(i, "w " * (1 + i % 5), "en", "big" if i % 3 else "small", 1) for i in range(300)]
     taken = mixing.mixed(documents(spark, data), by_lang(), {"en/big": 1, "en/small": 3}, 100, 2)
