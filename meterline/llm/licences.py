@@ -4,7 +4,8 @@ Segments of a text are compared with licence templates by the cosine of sparse T
 lower-cased words. Headers are looked for in the whole text, as notices stand at the end of files too: segments are
 all its lines, each by itself, and its paragraphs; a licence file (LICENSE, COPYING, NOTICE, UNLICENSE with any ending) is one segment as a
 whole too. Document frequencies are counted over the segments of all files; words of no
-template count as unseen. A file's licence is that of its best template from a cosine of ``THRESHOLD`` on.
+template count as unseen. A file's licence is that of its best template from a cosine of ``THRESHOLD`` on;
+wordings that licences share count for less (``SHARED``).
 
 Most segments are never scored. A segment can reach the threshold against a template only if it shares one
 of the template's heaviest words: those without which the rest weighs less than the threshold. Segments with none
@@ -30,6 +31,45 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.6
 
+
+def _gnu(work: str, name: str, version: str, sign: str = ";") -> str:
+    """The standard header of the GNU licences."""
+    return (
+        f"This {work} is free software{sign} you can redistribute it and/or modify it under the terms of the GNU {name} as published by the "
+        f"Free Software Foundation{';' if sign == ';' else ','} either version {version} of the License, or (at your option) any later version."
+    )
+
+
+_MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_APACHE = "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"
+_BSD_1_2 = "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_3 = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+
+# Standard headers, and the file text of the short licences.
+STANDARD = [
+    ("GPL-2.0", _gnu("program", "General Public License", "2")),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("LGPL-2.0", _gnu("library", "Library General Public License", "2")),
+    ("LGPL-2.1", _gnu("library", "Lesser General Public License", "2.1")),
+    ("LGPL-3.0", _gnu("program", "Lesser General Public License", "3", ":")),
+    ("AGPL-3.0", _gnu("program", "Affero General Public License", "3", ":")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("Apache-2.0", _APACHE),
+    ("MIT", _MIT),
+    ("ISC", _ISC),
+    ("BSD-2-Clause", f"{_BSD}: {_BSD_1_2} {_BSD_END}"),
+    ("BSD-3-Clause", f"{_BSD}: {_BSD_1_2} {_BSD_3} {_BSD_END}"),
+    ("BSD-3-Clause", _BSD_3),
+    ("BSD-2-Clause", _BSD_END),
+]
+
+# Wordings that BSD-2-Clause and BSD-3-Clause share, and the factor of their cosines: the whole text and the third
+# clause tell the two apart; the end stands without that clause in BSD-2-Clause, the opening alone says the least.
+SHARED = {_BSD: 0.85, _BSD_END: 0.88}
+
 # The wording of public licence notices.
 NOTICES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -59,8 +99,8 @@ _LICENCE_FILE = r"(?i)(^|/)(LICEN[CS]E|COPYING|NOTICE|UNLICENSE)([.-][^/]*)?$"
 
 def templates() -> list[tuple[str, str]]:
     """Names and wordings; each name has a line with its identifier too."""
-    names = dict.fromkeys(name for name, _ in NOTICES if name != "Proprietary")
-    return NOTICES + [(name, f"SPDX-License-Identifier: {name}") for name in names]
+    names = dict.fromkeys(name for name, _ in NOTICES + STANDARD if name != "Proprietary")
+    return NOTICES + STANDARD + [(name, f"SPDX-License-Identifier: {name}") for name in names]
 
 
 def _words(text: Column) -> Column:
@@ -115,7 +155,7 @@ def best_licences(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = segments(files)
     idf, unseen = _weights(rows, tf)
     vectors = [{w: x * idf[w] for w, x in t.items()} for t in tf]
-    norms = [sqrt(sum(x * x for x in v.values())) for v in vectors]
+    norms = [sqrt(sum(x * x for x in v.values())) / SHARED.get(text, 1) for v, (_, text) in zip(vectors, templates())]
     near = rows.where(F.arrays_overlap("words", F.array(*map(F.lit, _decisive(vectors, threshold)))))
     terms = near.select("key", "segment", F.explode("words").alias("word")).groupBy("key", "segment", "word").count()
     terms = terms.withColumn("tf", 1 + F.log("count"))

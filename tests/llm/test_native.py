@@ -172,6 +172,31 @@ def test_licences_of_headers_files_and_ancestors(spark):
     assert licences.scan(frame.limit(0)).count() == 0
 
 
+def test_standard_headers_and_texts_get_their_own_name(spark):
+    gnu = "This {} is free software{} you can redistribute it and/or modify\nit under the terms of the GNU {} as published by\n" \
+        "the Free Software Foundation{} either version {} of the License, or\n(at your option) any later version.\n\n" \
+        "This {} is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\n" \
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU {} for more details."
+    full = {"": "General Public License", "A": "Affero General Public License", "L": "Lesser General Public License"}
+    want = {
+        f"{k}GPL-{v}": gnu.format(work, a, full[k], b, v.removesuffix(".0"), work, full[k])
+        for k, v, work, a, b in (
+            ("", "2.0", "program", ";", ";"), ("", "3.0", "program", ":", ","), ("A", "3.0", "program", ":", ","),
+            ("L", "2.1", "library", ";", ";"), ("L", "3.0", "program", ":", ","),
+        )
+    }
+    one, two = licences._BSD_1_2.split(" 2. ")
+    bsd = [f"Copyright (c) 2020, Some One\n\n{licences._BSD}:", one, f"2. {two}"]
+    want["BSD-2-Clause"] = "\n\n".join([*bsd, licences._BSD_END])
+    want["BSD-3-Clause"] = "\n\n".join([*bsd, licences._BSD_3, licences._BSD_END])
+    want |= {"MIT": licences._MIT, "ISC": licences._ISC, "Apache-2.0": licences._APACHE}
+    files = [(f"{n}{end}", n, text) for n, text in want.items() for end in ("/LICENSE", "/header/x.c")]
+    files += [(f"{n}/y.c", n, "code") for n in want]
+    frame = spark.createDataFrame(files, "path string, want string, text string")
+    got = [(r.row.path, r.licence) for r in licences.scan(frame).collect() if r.licence != r.row.want]
+    assert got == []
+
+
 def test_passing_over_segments_loses_none(spark):
     texts = [f"{a} {b}" for a in ("licensed under", "the of", "gpl") for _, b in licences.NOTICES]
     frame = spark.createDataFrame([(f"p{i}", t) for i, t in enumerate(texts)], "path string, text string")
