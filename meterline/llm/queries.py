@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm import (
+    codebooks,
     licences,
     lines,
     minhash,
     mixing,
+    negatives,
     neighbours,
     packing,
     quality,
@@ -111,6 +113,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assigned(_documents(spark, sf_dir), SHARD_BYTES).drop("unit")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, code, error, label_error, codebooks_sha256."""
+    coded, books = codebooks.compressed(_table(spark, sf_dir, "embeddings"))
+    rows = codebooks.with_label_errors(coded).select("vec_id", "code", "error", "label_error")
+    return rows.withColumn("codebooks_sha256", F.lit(codebooks.digest(books)))
+
+
+def relabelled() -> Column:
+    """The label that negatives are mined by: that of every seventh row is another one."""
+    return F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"), relabelled())
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -121,6 +139,7 @@ def all_queries() -> dict[str, Query]:
     operators = (
         op1_minhash, op2_neighbours, op3_mixing, op4_token_files, op5_packing,
         op6_lines, op7_licences, op8_substrings, op9_quality, op10_sharding,
+        op12_vector_codes, op13_hard_negatives,
     )
     return {f.__name__: f for f in operators} | {"pipeline": pipeline}
 
@@ -202,4 +221,6 @@ def all_sql() -> dict[str, str]:
         "op6_lines": lines.ORACLE_SQL,
         "op8_substrings": _SUBSTRINGS_SQL,
         "op10_sharding": sharding.oracle_sql(SHARD_BYTES),
+        "op12_vector_codes": codebooks.oracle_sql(),
+        "op13_hard_negatives": negatives.oracle_sql(),
     }
