@@ -17,6 +17,7 @@ from meterline.llm import (
     negatives,
     neighbours,
     packing,
+    private,
     quality,
     sharding,
     substrings,
@@ -113,6 +114,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assigned(_documents(spark, sf_dir), SHARD_BYTES).drop("unit")
 
 
+def op11_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
+    rows, _ = private.spans_and_models(_documents(spark, sf_dir), F.col("doc_id"))
+    return private.digests(rows).select("row.doc_id", *(f"n_{k}" for k in private.KINDS), "base_sha256", "spans")
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, code, error, label_error, codebooks_sha256."""
     coded, books = codebooks.compressed(_table(spark, sf_dir, "embeddings"))
@@ -139,7 +146,7 @@ def all_queries() -> dict[str, Query]:
     operators = (
         op1_minhash, op2_neighbours, op3_mixing, op4_token_files, op5_packing,
         op6_lines, op7_licences, op8_substrings, op9_quality, op10_sharding,
-        op12_vector_codes, op13_hard_negatives,
+        op11_private, op12_vector_codes, op13_hard_negatives,
     )
     return {f.__name__: f for f in operators} | {"pipeline": pipeline}
 
