@@ -97,8 +97,13 @@ def main() -> None:
     def fact():
         return tables.read_table(spark, house.fact)
 
-    timed("mart_cells", lambda: runs.update_cells(spark, house, starts), warm=False)
-    timed("marts", lambda: runs.build_marts(spark, house, staged_zones))
+    states = house.opened(spark)
+
+    def stage(name: str, action: Callable[[], tables.State]) -> None:
+        states[name] = action()
+
+    timed("mart_cells", lambda: stage("cells", lambda: runs.stage_cells(spark, house, states, starts)), warm=False)
+    timed("marts", lambda: states.update(runs.stage_marts(spark, house, states, staged_zones)))
     timed("daily_from_fact", lambda: consume(marts.mart_daily_revenue(marts.trip_cells(fact(), ["pickup_date"]))))
     timed(
         "hourly_from_fact",
@@ -111,7 +116,13 @@ def main() -> None:
         ),
     )
     timed("unique_trip_id", lambda: checks.duplicate_keys(fact(), "trip_id").count())
-    timed("data_tests", lambda: runs.run_tests(spark, house, staged_zones, CONFIG, starts), warm=False)
+
+    def data_tests() -> None:
+        states.pop("findings", None)
+        states["findings"] = runs.stage_findings(spark, house, states, CONFIG)
+        runs.run_tests(spark, states, staged_zones, CONFIG)
+
+    timed("data_tests", data_tests, warm=False)
     timed(
         "delivery_checks",
         lambda: checks.check_deliveries(tables.read_table(spark, house.raw), fact(), starts, CONFIG.limits),

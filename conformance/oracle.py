@@ -24,6 +24,25 @@ _STEPS = {
         SELECT * FROM once
         UNION ALL
         SELECT * REPLACE (loaded_at + INTERVAL 1 DAY AS loaded_at) FROM once WHERE passenger_count = 2""",
+    # Required values that go missing in turn in even months, and optional amounts.
+    "damaged": """
+        SELECT * EXCLUDE (turn) REPLACE (
+            CASE WHEN turn <> 0 THEN tpep_pickup_datetime END AS tpep_pickup_datetime,
+            CASE WHEN turn <> 1 THEN tpep_dropoff_datetime END AS tpep_dropoff_datetime,
+            CASE WHEN turn <> 2 THEN "PULocationID" END AS "PULocationID",
+            CASE WHEN turn <> 3 THEN "DOLocationID" END AS "DOLocationID",
+            CASE WHEN turn <> 4 THEN fare_amount END AS fare_amount,
+            CASE WHEN turn <> 5 THEN total_amount END AS total_amount,
+            CASE WHEN turn <> 6 THEN tip_amount END AS tip_amount,
+            CASE WHEN "VendorID" % 2 <> 0 THEN trip_distance / 8 END AS extra,
+            CASE WHEN "VendorID" % 3 <> 0 THEN trip_distance * 2 / 8 END AS mta_tax,
+            CASE WHEN "VendorID" % 4 <> 0 THEN trip_distance * 3 / 8 END AS tolls_amount,
+            CASE WHEN "VendorID" % 5 <> 0 THEN trip_distance * 4 / 8 END AS improvement_surcharge,
+            CASE WHEN "VendorID" % 6 <> 0 THEN trip_distance * 5 / 8 END AS congestion_surcharge,
+            CASE WHEN "VendorID" % 7 <> 0 THEN trip_distance * 6 / 8 END AS "Airport_fee",
+            CASE WHEN "VendorID" % 8 <> 0 THEN trip_distance * 7 / 8 END AS cbd_congestion_fee)
+        FROM (SELECT *, CASE WHEN month(source_month) % 2 = 0
+            THEN ("PULocationID" * 7 + trip_distance::BIGINT * 3) % 60 ELSE 60 END AS turn FROM sound)""",
     "typed": """
         SELECT md5(concat_ws('|', "VendorID", tpep_pickup_datetime, tpep_dropoff_datetime, "PULocationID",
                 "DOLocationID", trip_distance, fare_amount, total_amount)) AS trip_id,
@@ -115,6 +134,9 @@ _FEED = ["once", "feed"]
 _STAGED = [*_FEED, "typed", "staged"]
 _MEASURED = [*_STAGED, "timed", "measured"]
 _FACT = [*_MEASURED, "fct"]
+# A step may stand under another name.
+_DAMAGED = ["once", "sound=feed", "feed=damaged"]
+_DAMAGED_FACT = [*_DAMAGED, *_FACT[2:]]
 _BOARD = [*_FACT, "zones", "dim", "by_zone", "board"]
 
 _DAILY_ROUNDED = """
@@ -142,7 +164,8 @@ _MONTH_TOTALS = """
 
 
 def _sql(steps: list[str], final: str, source: str = "staged") -> str:
-    named = (f"{s} AS ({_STEPS[s].format(source=source, weighted=_WEIGHTED)})" for s in steps)
+    pairs = ((s.partition("=")[0], s.rpartition("=")[2]) for s in steps)
+    named = (f"{name} AS ({_STEPS[s].format(source=source, weighted=_WEIGHTED)})" for name, s in pairs)
     return f"WITH {', '.join(named)} {final}" if steps else final
 
 
@@ -174,6 +197,63 @@ def _history(final: str) -> str:
     )
 
 
+def _findings() -> str:
+    """Counts of each month and test, written as one UNION of small aggregates."""
+    label = "'Flex fare', 'Credit card', 'Cash', 'No charge', 'Dispute', 'Unknown', 'Voided trip'"
+    ends = ("pickup_location_id", "dropoff_location_id")
+
+    def missing(*columns: str) -> dict[str, str]:
+        return {f"not_null[{c}]": f"{c} IS NULL" for c in columns}
+
+    offenders = {
+        ("measured", "stg_trips"): missing("trip_id", "pickup_ts", "dropoff_ts", *ends)
+        | {
+            "accepted_values[vendor_id]": "vendor_id NOT IN (1, 2, 6, 7)",
+            "accepted_values[payment_type_id]": "payment_type_id NOT IN (0, 1, 2, 3)",
+            "range[fare_amount]": "fare_amount NOT BETWEEN 0 AND 100000",
+            "range[total_amount]": "total_amount NOT BETWEEN 0 AND 100000",
+        },
+        ("measured", "int_trips"): missing("trip_id")
+        | {
+            "range[duration_minutes]": "duration_minutes NOT BETWEEN 0 AND 1440",
+            "range[avg_speed_mph]": "avg_speed_mph NOT BETWEEN 0 AND 100",
+            "range[tip_pct]": "tip_pct < 0",
+        },
+        ("fct", "fct_trips"): missing("trip_id", "pickup_ts", "dropoff_ts", "pickup_date", "pickup_hour", *ends)
+        | {
+            "range[pickup_hour]": "pickup_hour NOT BETWEEN 0 AND 23",
+            "accepted_values[pickup_day_of_week]": "pickup_day_of_week NOT BETWEEN 1 AND 7",
+            "accepted_values[payment_type_name]": f"payment_type_name NOT IN ({label})",
+            "no_negative_fares": "fare_amount < 0 OR total_amount < 0 OR tip_amount < 0",
+            "dropoff_not_before_pickup": "dropoff_ts < pickup_ts",
+            "trip_duration_under_24h": "duration_minutes >= 1440 OR duration_minutes < 0",
+        },
+    }
+    watched = (
+        "tpep_pickup_datetime tpep_dropoff_datetime PULocationID DOLocationID fare_amount total_amount"
+        " passenger_count RatecodeID congestion_surcharge Airport_fee"
+    ).split()
+    row = "SELECT '{kind}' AS kind, '{key}' AS key, {value} AS value, {n} AS n, {amount} AS amount, source_month FROM {source} GROUP BY ALL"
+    none = {"value": "NULL::VARCHAR", "amount": "NULL::DECIMAL(38,2)"}
+    parts = [
+        row.format(kind="offenders", key=f"{t}.{name}", n=f"count(*) FILTER (WHERE {test})", source=source, **none)
+        for (source, t), tests in offenders.items()
+        for name, test in tests.items()
+    ]
+    parts += [row.format(kind="nulls", key=c, n=f'count(*) FILTER (WHERE "{c}" IS NULL)', source="feed", **none) for c in watched]
+    parts += [row.format(kind="rows", key=k, n="count(*)", source=s, **none) for k, s in (("raw_trips", "feed"), ("fct_trips", "fct"))]
+    own_month = "count(*) FILTER (WHERE date_trunc('month', pickup_date) = source_month)"
+    parts.append(row.format(kind="rows", key="fct_in_month", n=own_month, source="fct", **none))
+    parts += [
+        row.format(kind="ids", key=f"{t}.{c}", value=f"{c}::VARCHAR", n="count(*)", amount=none["amount"], source=s)
+        for s, t in (("staged", "stg_trips"), ("fct", "fct_trips"))
+        for c in ends
+    ]
+    revenue = "sum(total_amount)::DECIMAL(38,2)"
+    parts.append(row.format(kind="days", key="fct_trips", value="pickup_date::VARCHAR", n="count(*)", amount=revenue, source="fct"))
+    return " UNION ALL ".join(parts)
+
+
 def all_sql() -> dict[str, str]:
     null_columns = ", ".join(
         f"NULL::{dtype} AS \"{name}\""
@@ -222,6 +302,19 @@ def all_sql() -> dict[str, str]:
             UNION ALL
             (SELECT 'all', NULL, count(*), sum(total_revenue)::DOUBLE / 1e6 FROM daily))"""
 
+    verdicts = f""", counted AS (
+                SELECT strftime(source_month, '%Y-%m') AS month, raw_rows, coalesce(fct_rows, 0) AS fct_rows,
+                    * EXCLUDE (source_month, raw_rows, fct_rows)
+                FROM (SELECT source_month, count(*) AS raw_rows, {critical_rates} FROM feed GROUP BY source_month)
+                LEFT JOIN (SELECT date_trunc('month', pickup_date)::DATE AS source_month, count(*) AS fct_rows
+                    FROM fct GROUP BY 1) USING (source_month))
+            SELECT month, 'raw_row_count' AS name, raw_rows >= 300 AS passed,
+                {grouped('raw_rows')} || ' rows (minimum 300)' AS detail FROM counted
+            {null_verdicts}
+            UNION ALL SELECT month, 'fct_trips_retention', fct_rows > 0 AND fct_rows / raw_rows >= 0.65,
+                {grouped('fct_rows')} || ' of ' || {grouped('raw_rows')} || ' raw rows survived cleaning ('
+                || printf('%.2f%%', 100 * fct_rows / raw_rows) || ', minimum 65%)' FROM counted"""
+
     return {
         "align_case_and_missing": f"""
             SELECT o_orderkey AS "VendorID", o_orderdate AS tpep_pickup_datetime,
@@ -244,6 +337,15 @@ def all_sql() -> dict[str, str]:
                 " UNION ALL SELECT * FROM once WHERE year(source_month) = 1998)"
             ),
         ),
+        "load_named_months": _sql(
+            _FEED, "SELECT strftime(source_month, '%Y-%m') AS month, count(*) AS rows FROM feed GROUP BY source_month"
+        ),
+        "stage_zones_csv": _sql(["zones"], "SELECT * FROM zones"),
+        "snapshot_read": _sql(
+            _FACT,
+            """SELECT seen, payment_type_name, count(*) AS trips FROM fct, (VALUES ('first'), ('last')) t(seen)
+               WHERE seen = 'first' OR payment_type_name NOT IN ('Cash', 'Dispute') GROUP BY ALL""",
+        ),
         "upsert_fact": _sql(
             [*_FACT, "corrections"],
             f"""SELECT {_FACT_ROUNDED} FROM (
@@ -275,6 +377,24 @@ def all_sql() -> dict[str, str]:
                 (SELECT count(*) FROM staged) AS kept
             FROM typed""",
         ),
+        "stage_damaged": _sql([*_DAMAGED, "typed", "staged"], "SELECT * FROM staged"),
+        "drop_counts_damaged": _sql(
+            [*_DAMAGED, "typed", "staged"],
+            """SELECT count(*) AS rows,
+                count(*) FILTER (WHERE pickup_ts IS NULL OR dropoff_ts IS NULL OR pickup_location_id IS NULL
+                    OR dropoff_location_id IS NULL OR fare_amount IS NULL OR total_amount IS NULL
+                    OR tip_amount IS NULL) AS required,
+                count(*) FILTER (WHERE (least(fare_amount, total_amount, tip_amount) >= 0 AND trip_distance_miles >= 0)
+                    IS NOT TRUE) AS not_negative,
+                count(*) FILTER (WHERE (fare_amount <= 100000) IS NOT TRUE) AS fare_cap,
+                count(*) FILTER (WHERE (total_amount <= 100000) IS NOT TRUE) AS total_cap,
+                count(*) FILTER (WHERE (trip_distance_miles <= 48) IS NOT TRUE) AS distance_cap,
+                count(*) FILTER (WHERE (dropoff_ts >= pickup_ts) IS NOT TRUE) AS time_order,
+                count(*) FILTER (WHERE (dropoff_ts < pickup_ts + INTERVAL 24 HOUR) IS NOT TRUE) AS under_24h,
+                count(*) FILTER (WHERE (date_trunc('month', pickup_ts)::DATE = source_month) IS NOT TRUE) AS own_month,
+                (SELECT count(*) FROM staged) AS kept
+            FROM typed""",
+        ),
         "trip_key_md5": _sql([*_FEED, "typed"], "SELECT trip_id, count(*) AS copies FROM typed GROUP BY trip_id"),
         "number_texts": """
             SELECT l_orderkey, l_linenumber,
@@ -402,21 +522,9 @@ def all_sql() -> dict[str, str]:
                WHERE fct_trips <> zone_trips""",
         ),
         "null_rates": _sql(_FEED, f"SELECT source_month, {rates} FROM feed GROUP BY source_month"),
-        "delivery_checks": _sql(
-            _FACT,
-            f""", counted AS (
-                SELECT strftime(source_month, '%Y-%m') AS month, raw_rows, coalesce(fct_rows, 0) AS fct_rows,
-                    * EXCLUDE (source_month, raw_rows, fct_rows)
-                FROM (SELECT source_month, count(*) AS raw_rows, {critical_rates} FROM feed GROUP BY source_month)
-                LEFT JOIN (SELECT date_trunc('month', pickup_date)::DATE AS source_month, count(*) AS fct_rows
-                    FROM fct GROUP BY 1) USING (source_month))
-            SELECT month, 'raw_row_count' AS name, raw_rows >= 300 AS passed,
-                {grouped('raw_rows')} || ' rows (minimum 300)' AS detail FROM counted
-            {null_verdicts}
-            UNION ALL SELECT month, 'fct_trips_retention', fct_rows > 0 AND fct_rows / raw_rows >= 0.65,
-                {grouped('fct_rows')} || ' of ' || {grouped('raw_rows')} || ' raw rows survived cleaning ('
-                || printf('%.2f%%', 100 * fct_rows / raw_rows) || ', minimum 65%)' FROM counted""",
-        ),
+        "delivery_checks": _sql(_FACT, verdicts),
+        "delivery_checks_damaged": _sql(_DAMAGED_FACT, verdicts),
+        "findings_by_month": _sql(_DAMAGED_FACT, _findings()),
         "scd2_apply": _history("SELECT * FROM history"),
         "scd2_as_of": _history(
             """SELECT location_id, borough, zone, service_zone FROM history
@@ -442,6 +550,9 @@ def all_sql() -> dict[str, str]:
                         THEN 'lowest' END AS extreme
             FROM hourly""",
         ),
+        "sample_files": """
+            SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER () - 1 AS place FROM lineitem)
+            ORDER BY md5('42||' || place), place LIMIT 500""",
         "sample_fixed": "SELECT * FROM orders ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 200",
         "run_months_state": _sql(
             _FACT,

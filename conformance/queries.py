@@ -8,20 +8,23 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from conformance.feed import CONFIG, RULES, delivery_path, feed, land, table, zones
+from conformance.feed import CONFIG, RULES, damaged, delivery_path, feed, land, table, zones
+from meterline.config import AllowedValues
 from meterline.functions import expressions as X
 from meterline.operators import checks, marts
 from meterline.operators.dims import dim_zones
 from meterline.operators.enrich import derive_measures, enrich_trips
 from meterline.operators.fact import build_fact, fact_rows, latest_per_key
-from meterline.operators.sampling import sample_fixed
+from meterline.operators.sampling import export_sample, sample_fixed
 from meterline.operators.snapshot import apply_snapshot, rows_as_of
 from meterline.operators.staging import drop_counts, stage_trips, stage_zones, type_trips
 from meterline.plans import reports, runs
+from meterline.plans.data_tests import month_findings
 from meterline.session import scratch_path
-from meterline.sources import tables
-from meterline.sources.months import month_name
+from meterline.sources import files, tables
+from meterline.sources.months import month_name, month_path
 from meterline.sources.trips import align_to_schema, load_months
+from meterline.sources.zones import read_zones
 from meterline.streaming.arrival import ingest_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +154,39 @@ def load_other_month_untouched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _month_totals(spark, path)
 
 
+@query
+def load_named_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries where the landing path of their month says, loaded by month alone; rows as the loader counts them."""
+    data_dir, landing = scratch_path(spark, "data"), landed(spark, sf_dir)
+    for month, path in landing.items():
+        files.move(spark, path, month_path(month, data_dir))
+    counts = load_months(spark, {m: month_path(m, data_dir) for m in landing}, scratch_path(spark, "raw"), LOADED_AT)
+    return spark.createDataFrame(sorted(counts.items()), "month string, rows bigint")
+
+
+@query
+def stage_zones_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone lookup written and read as CSV."""
+    path = scratch_path(spark, "zones")
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    zones(spark, sf_dir).write.csv(path, header=True, quoteAll=True, **blanks)
+    return stage_zones(read_zones(spark, path))
+
+
+@query
+def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read while it is rebuilt twice: the read that started first sees the first rows."""
+    path, trips = scratch_path(spark, "trips"), fact(spark, sf_dir).select("trip_id", "payment_type_name", "source_month")
+    tables.overwrite_table(trips, path)
+    started = tables.read_table(spark, path)
+    for label in ("Cash", "Dispute"):
+        tables.overwrite_table(tables.read_table(spark, path).where(F.col("payment_type_name") != label), path)
+    seen = started.withColumn("seen", F.lit("first")).unionByName(
+        tables.read_table(spark, path).withColumn("seen", F.lit("last"))
+    )
+    return seen.groupBy("seen", "payment_type_name").agg(F.count(F.lit(1)).alias("trips"))
+
+
 @query
 def upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All trips stored, then a batch that corrects disputed ones and adds one of each under a new key."""
@@ -250,6 +286,17 @@ def dim_zones_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_zones(staged_zones(spark, sf_dir))
 
 
+@query
+def stage_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of a feed with missing values and filled optional amounts."""
+    return stage_trips(damaged(feed(spark, sf_dir)), RULES)
+
+
+@query
+def drop_counts_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_counts(damaged(feed(spark, sf_dir)), RULES)
+
+
 # Derived columns.
 
 
@@ -461,13 +508,29 @@ def null_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(counts.select("source_month", *shares))
 
 
+@query
+def delivery_checks_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The delivery gate's verdict where some months lack too many values."""
+    trips = damaged(feed(spark, sf_dir))
+    months = months_of(feed(spark, sf_dir, copies=False))
+    return _verdicts(spark, checks.check_deliveries(trips, fact_rows(stage_trips(trips, RULES)), months, CONFIG.limits))
+
+
+@query
+def findings_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the data tests know of each month, where vendors are missing from the list and trips from the feed."""
+    raw, known = damaged(feed(spark, sf_dir)), AllowedValues(vendors=(1, 2, 6, 7), payment_types=(0, 1, 2, 3))
+    return month_findings(raw, fact_rows(stage_trips(raw, RULES)), known, RULES)
+
+
 @query
 def delivery_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delivery gate's verdict on every month, as rows."""
-    trips = feed(spark, sf_dir)
-    results = checks.check_deliveries(
-        trips, fact(spark, sf_dir), months_of(feed(spark, sf_dir, copies=False)), CONFIG.limits
-    )
+    trips, months = feed(spark, sf_dir), months_of(feed(spark, sf_dir, copies=False))
+    return _verdicts(spark, checks.check_deliveries(trips, fact(spark, sf_dir), months, CONFIG.limits))
+
+
+def _verdicts(spark: SparkSession, results: dict[str, list[checks.CheckResult]]) -> DataFrame:
     rows = [(month, r.name, r.passed, r.detail) for month, every in results.items() for r in every]
     return spark.createDataFrame(rows, "month string, name string, passed boolean, detail string")
 
@@ -532,6 +595,14 @@ def report_tip_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(reports.tip_by_hour(hourly(spark, sf_dir)))
 
 
+@query
+def sample_files_(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample by file and place, exported and read back."""
+    target = scratch_path(spark, "sample")
+    export_sample(spark, f"{sf_dir}/lineitem.parquet", target, 500)
+    return spark.read.parquet(target)
+
+
 @query
 def sample_fixed_(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample_fixed(table(spark, sf_dir, "orders"), 200, ["o_orderkey"])

@@ -108,27 +108,26 @@ def in_window(raw: DataFrame, start: date, end: date | None = None) -> DataFrame
     return out
 
 
-def last_pickup_date(spark: SparkSession, fact_path: str) -> date | None:
+def last_pickup_date(spark: SparkSession, fact: tables.State) -> date | None:
     """Newest pickup date of the fact, read from its newest month alone."""
-    months = tables.stored_months(spark, fact_path)
-    if not months:
+    if not fact.months:
         return None
-    newest = tables.read_table(spark, fact_path).where(tables.in_months([max(months)]))
-    return newest.agg(F.max("pickup_date")).first()[0]
+    return tables.read_state(spark, fact.of([fact.months[-1]])).agg(F.max("pickup_date")).first()[0]
 
 
-def build_fact(
+def stage_fact(
     spark: SparkSession,
-    raw_path: str,
-    fact_path: str,
+    raw: tables.State,
+    fact: tables.State | None,
+    path: str,
     window: tuple[date, date] | None = None,
     *,
     months: list[date] | None = None,
     rules: CleaningRules = CleaningRules(),
     lookback_days: int = 3,
     mode: str = "upsert",
-) -> list[date]:
-    """Bring the fact table up to date with the raw table; the months written.
+) -> tuple[tables.State, list[date]]:
+    """The fact table brought up to date with the raw table, not committed yet, and the months written.
 
     Without rows in the target everything is built, whatever the window. Otherwise ``months``
     (whole months) or ``window`` (half-open) name the pickups to process, and without either
@@ -137,24 +136,33 @@ def build_fact(
     ``mode="replace"`` rebuilds the months as partitions instead of upserting by trip id, so
     fact rows whose raw row has gone disappear too; it takes whole months only.
     """
-    raw = tables.read_table(spark, raw_path)
-    available = tables.stored_months(spark, raw_path)
-    newest = last_pickup_date(spark, fact_path)
-    if newest is None:
-        touched, window = available, None
-        source = raw
+    if fact is None or not fact.months:
+        touched, window = raw.months, None
     elif months is not None:
         touched, window = sorted(months), None
-        source = raw.where(tables.in_months(touched))
     else:
-        start, end = window = window or (newest - timedelta(days=lookback_days), None)
-        touched = [m for m in available if m >= start.replace(day=1) and (end is None or m < end)]
-        source = in_window(raw, start, end)
+        if window is None:
+            window = last_pickup_date(spark, fact) - timedelta(days=lookback_days), None
+        start, end = window
+        touched = [m for m in raw.months if m >= start.replace(day=1) and (end is None or m < end)]
     if not touched:
-        return []
-    staged = stage_trips(source, rules)
+        nothing = fact_rows(stage_trips(tables.read_state(spark, raw.of([])), rules))
+        return fact or tables.State(path, tables.evolved_schema(None, nothing.schema)), []
+    source = tables.read_state(spark, raw.of(touched))
+    staged = stage_trips(in_window(source, *window) if window else source, rules)
     if mode == "replace" and window is None:
-        tables.write_months(fact_rows(staged), fact_path, touched)
-    else:
-        tables.upsert_by_key(fact_rows(staged), fact_path, KEY, touched, ids=staged)
+        return tables.stage_months(fact_rows(staged), path, touched, fact), touched
+    return tables.stage_upsert(fact_rows(staged), path, KEY, touched, fact), touched
+
+
+def build_fact(
+    spark: SparkSession, raw_path: str, fact_path: str, window: tuple[date, date] | None = None, **options
+) -> list[date]:
+    """Bring the fact table up to date with the raw table; the months written. Options as of ``stage_fact``."""
+    raw = tables.current(spark, raw_path)
+    if raw is None:
+        raise FileNotFoundError(f"no table at {raw_path}")
+    fact, touched = stage_fact(spark, raw, tables.current(spark, fact_path), fact_path, window, **options)
+    if touched:
+        tables.commit(spark, fact)
     return touched

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import math
+import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.sources import files
 from meterline.sources.tables import export_parquet
 
+
 def _below(share: float) -> str:
     """Hex text that a uniformly drawn md5 is below with probability ``share``."""
     return format(min(int(share * 16**12), 16**12 - 1), "012x") if share < 1 else "g"
@@ -37,11 +41,13 @@ def sample_fixed(df: DataFrame, n: int, identity: list[str], seed: int = 42) ->
 def sample_files(spark: SparkSession, path: str, n: int, seed: int = 42) -> DataFrame:
     """Sample of Parquet rows, identified by file and position, so equal rows are drawn independently.
 
-    A file is named by its path below ``path``: tasks give their files the same name in every partition folder.
+    A file is named by what its path has below ``path``, which is nothing where ``path`` is the file: tasks give their
+    files the same name in every partition folder, and a copy of a folder gives the same sample.
     """
     rows = spark.read.parquet(path)
-    root = path.rstrip("/").rpartition("/")[2]
-    file = F.substring_index(F.col("_metadata.file_path"), f"{root}/", -1)
+    plain = F.regexp_replace(F.col("_metadata.file_path"), "^([a-z0-9+.-]+):/+", "$1:/")
+    root = re.sub("^([a-z0-9+.-]+):/+", r"\1:/", unquote(files.qualified(spark, path))).rstrip("/")
+    file = F.substring(plain, len(root) + 1, 1 << 20)
     placed = rows.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_row"))
     return sample_fixed(placed, n, ["_file", "_row"], seed).select(*rows.columns)
 

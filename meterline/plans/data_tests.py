@@ -1,22 +1,29 @@
 """The data tests of all tables.
 
-Tests on single rows of one table are counted in one pass. Uniqueness and references are
-counted per key, which Spark combines before it shuffles.
+Tests of the large tables are answered from findings: a few rows for each month that add up over months, so a run
+looks at the rows of its own months only and takes the findings of all others as they are stored. Tests on single
+rows of one table are counted in one pass. Uniqueness and references are counted per key, which Spark combines
+before it shuffles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from functools import partial
+from datetime import date
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from meterline.config import AllowedValues, CleaningRules
+from meterline.config import AllowedValues, CleaningRules, DeliveryLimits
 from meterline.functions.expressions import PAYMENT_TYPES
 from meterline.operators import checks
 from meterline.operators.checks import CheckResult, is_missing, not_accepted, out_of_range
+from meterline.operators.enrich import derive_measures
+from meterline.operators.staging import stage_trips
 from meterline.session import side_by_side
+from meterline.sources.tables import MONTH
 
 
 @dataclass(frozen=True)
@@ -47,7 +54,7 @@ def _accepted(column: str, values: tuple) -> dict[str, Column]:
 def table_tests(
     allowed: AllowedValues = AllowedValues(), rules: CleaningRules = CleaningRules()
 ) -> dict[str, TableTests]:
-    """Tests by table; the two that compare tables are in ``run_data_tests``."""
+    """Tests by table; the two that compare the fact with marts are in ``run_data_tests``."""
     ends = ("pickup_location_id", "dropoff_location_id")
     return {
         "raw_trips": TableTests(at_least_one_row=True),
@@ -109,38 +116,168 @@ def _none_of(name: str, offending: DataFrame, what: str) -> list[CheckResult]:
     return [_offenders(name, offending.count(), what)]
 
 
-def _not_empty(name: str, table: DataFrame) -> list[CheckResult]:
-    return [CheckResult(name, not table.isEmpty(), "at least 1 row expected")]
+def _not_empty(name: str, rows: int) -> list[CheckResult]:
+    return [CheckResult(name, rows > 0, "at least 1 row expected")]
+
+
+# What the tests of the large tables need to know of a month, as rows: kind, key, value, n, amount, source_month.
+#   offenders  key: table.test             n: rows that meet the condition
+#   repeated   key: table.column           n: values that occur more than once; equal trip ids share a month
+#   rows       key: table                  n: rows; fct_in_month: those picked up in the month they are filed under
+#   nulls      key: column of raw_trips    n: rows without a value
+#   ids        key: table.column           value: a zone id, n: rows that refer to it
+#   days       key: fct_trips              value: a day, n: trips, amount: revenue
+FINDINGS = "kind string, key string, value string, n bigint, amount decimal(38,2), source_month date"
+_MONTHLY = ("raw_trips", "stg_trips", "int_trips", "fct_trips")
+
+
+def _finding(kind: str, key: Column, n: Column, value: Column | None = None, amount: Column | None = None) -> list[Column]:
+    return [
+        F.lit(kind).alias("kind"),
+        key.alias("key"),
+        (F.lit(None) if value is None else value).cast("string").alias("value"),
+        n.cast("bigint").alias("n"),
+        (F.lit(None) if amount is None else amount).cast("decimal(38,2)").alias("amount"),
+        F.col(MONTH),
+    ]
+
+
+def _counts(table: DataFrame, counters: dict[tuple[str, str], Column]) -> DataFrame:
+    """Findings (kind, key) of one pass over a table."""
+    names = {f"c{i}": name for i, name in enumerate(counters)}
+    wide = table.groupBy(MONTH).agg(*(counters[name].alias(c) for c, name in names.items()))
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(v).alias("key"), F.col(c).alias("n")) for c, (k, v) in names.items())))
+    rows = wide.select(MONTH, each.alias("f")).select(MONTH, "f.*")
+    return rows.select(F.col("kind"), *_finding("", F.col("key"), F.col("n"))[1:])
+
+
+def _ids(table: DataFrame, name: str, columns: list[str]) -> DataFrame:
+    """The values of some columns with their rows, all in one pass."""
+    each = F.explode(F.array(*(F.struct(F.lit(f"{name}.{c}").alias("key"), F.col(c).alias("value")) for c in columns)))
+    found = table.select(MONTH, each.alias("f")).where("f.value IS NOT NULL").groupBy(MONTH, "f.key", "f.value").count()
+    return found.select(*_finding("ids", F.col("key"), F.col("count"), F.col("value")))
+
+
+def month_findings(
+    raw: DataFrame, fact: DataFrame, allowed: AllowedValues = AllowedValues(), rules: CleaningRules = CleaningRules()
+) -> DataFrame:
+    """What the tests of raw, staged, enriched and fact trips and the delivery gate need to know, month by month."""
+    suite, staged = table_tests(allowed, rules), stage_trips(raw, rules)
+    every = F.count(F.lit(1))
+
+    def offenders(*tables: str) -> dict:
+        return {("offenders", f"{t}.{n}"): F.count_if(c) for t in tables for n, c in suite[t].rows.items()}
+
+    in_month = F.count_if(F.trunc("pickup_date", "month") == F.col(MONTH))
+    watched = {("nulls", c): F.count_if(F.col(c).isNull()) for c in checks.CRITICAL_COLUMNS + checks.INFO_COLUMNS}
+    repeated = checks.duplicate_keys(fact, "trip_id", MONTH).groupBy(MONTH).count()
+    daily = fact.groupBy(MONTH, "pickup_date").agg(every.alias("n"), F.sum("total_amount").alias("revenue"))
+    references = {t: [column for column, *_ in suite[t].references] for t in ("stg_trips", "fct_trips")}
+    parts = [
+        _counts(raw, {("rows", "raw_trips"): every} | watched),
+        # The enriched trips hold all staged columns, so one pass serves both tables.
+        _counts(derive_measures(staged), offenders("stg_trips", "int_trips")),
+        _counts(fact, {("rows", "fct_trips"): every, ("rows", "fct_in_month"): in_month} | offenders("fct_trips")),
+        _ids(staged, "stg_trips", references["stg_trips"]),
+        _ids(fact, "fct_trips", references["fct_trips"]),
+        repeated.select(*_finding("repeated", F.lit("fct_trips.trip_id"), F.col("count"))),
+        daily.select(*_finding("days", F.lit("fct_trips"), F.col("n"), F.col("pickup_date"), F.col("revenue"))),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _orphans(findings: DataFrame, parents: dict[str, DataFrame], suite: dict[str, TableTests], *by: str) -> dict[tuple, int]:
+    """(*by, reference) -> distinct values that the parent lacks."""
+    jobs = []
+    for table in _MONTHLY:
+        for column, parent, parent_column in suite[table].references:
+            values = findings.where((F.col("kind") == "ids") & (F.col("key") == f"{table}.{column}"))
+            values = values.select(*by, F.col("value").alias("id")).distinct()
+            known = parents[parent].select(F.col(parent_column).cast("string").alias("id"), F.lit(True).alias("_known")).distinct()
+            lost = values.join(known, "id", "left").where("_known IS NULL").groupBy(*by).count()
+            jobs.append(partial(lambda lost, name: [((*r[:-1], name), r[-1]) for r in lost.collect()], lost, (table, column)))
+    return dict(pair for found in side_by_side(jobs) for pair in found)
+
+
+def _monthly_results(counts: dict[tuple[str, str], int], orphans: dict[tuple[str, str], int], suite: dict[str, TableTests]) -> dict:
+    """Results by table of the tests that findings answer."""
+    out: dict[str, list[CheckResult]] = {}
+    for table in _MONTHLY:
+        tests = suite[table]
+        results = [_offenders(f"{table}.{name}", counts.get(("offenders", f"{table}.{name}"), 0)) for name in tests.rows]
+        if tests.at_least_one_row:
+            results += _not_empty(f"{table}.row_count", counts.get(("rows", table), 0))
+        results += [
+            _offenders(f"{table}.unique[{c}]", counts.get(("repeated", f"{table}.{c}"), 0), "keys") for c in tests.unique
+        ]
+        results += [
+            _offenders(f"{table}.relationships[{c}]", orphans.get((table, c), 0), "keys") for c, *_ in tests.references
+        ]
+        out[table] = results
+    return out
+
+
+def results_by_month(
+    findings: DataFrame,
+    parents: dict[str, DataFrame],
+    months: list[date],
+    allowed: AllowedValues = AllowedValues(),
+    rules: CleaningRules = CleaningRules(),
+    limits: DeliveryLimits = DeliveryLimits(),
+) -> tuple[dict[date, list[CheckResult]], dict[date, list[CheckResult]]]:
+    """Of each month, the tests of its own rows and the checks of its delivery."""
+    suite = table_tests(allowed, rules)
+    sums = findings.where(F.col("kind").isin("offenders", "repeated", "rows", "nulls")).groupBy(MONTH, "kind", "key").agg(F.sum("n"))
+    counts: dict[date, dict] = {m: {} for m in months}
+    for month, kind, key, n in sums.collect():
+        counts[month][kind, key] = n
+    orphans: dict[date, dict] = {m: {} for m in months}
+    for (month, name), n in _orphans(findings, parents, suite, MONTH).items():
+        orphans[month][name] = n
+    tests, deliveries = {}, {}
+    for m in months:
+        own = _monthly_results(counts[m], orphans[m], suite)
+        # An empty month is for the delivery checks to judge.
+        tests[m] = [r for results in own.values() for r in results if not r.name.endswith(".row_count")]
+        metrics = {f"nulls_{key}": n for (kind, key), n in counts[m].items() if kind == "nulls"}
+        metrics["raw_rows"] = counts[m].get(("rows", "raw_trips"), 0)
+        metrics["fct_rows"] = counts[m].get(("rows", "fct_in_month"), 0)
+        deliveries[m] = checks.month_results(metrics, limits)
+    return tests, deliveries
 
 
 def run_data_tests(
+    findings: DataFrame,
     tables: dict[str, DataFrame],
     allowed: AllowedValues = AllowedValues(),
     rules: CleaningRules = CleaningRules(),
 ) -> list[CheckResult]:
-    """Run every test over the given tables, keyed as in ``table_tests``."""
+    """Every test: those of the large tables from the findings of all months, the others over the given tables."""
     suite = table_tests(allowed, rules)
-    # The enriched trips hold all staged columns, so one pass serves both tables.
-    passes = {name: [name] for name in suite if name != "stg_trips"}
-    passes["int_trips"].insert(0, "stg_trips")
-    jobs: list[Callable[[], list[CheckResult]]] = []
-    for source, covered in passes.items():
-        conditions = {f"{table}.{name}": c for table in covered for name, c in suite[table].rows.items()}
-        if conditions:
-            jobs.append(partial(_count_rows, tables[source], conditions))
+    sums = findings.where(F.col("kind").isin("offenders", "repeated", "rows")).groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+    def monthly() -> list[CheckResult]:
+        counts = {(kind, key): n for kind, key, n in sums.collect()}
+        orphans = {name: n for (name,), n in _orphans(findings, tables, suite).items()}
+        return [r for results in _monthly_results(counts, orphans, suite).values() for r in results]
+
+    jobs: list[Callable[[], list[CheckResult]]] = [monthly]
     for name, tests in suite.items():
-        if tests.at_least_one_row:
-            jobs.append(partial(_not_empty, f"{name}.row_count", tables[name]))
+        if name in _MONTHLY:
+            continue
+        if tests.rows:
+            jobs.append(partial(_count_rows, tables[name], {f"{name}.{test}": c for test, c in tests.rows.items()}))
         for column in tests.unique:
             duplicates = checks.duplicate_keys(tables[name], column)
             jobs.append(partial(_none_of, f"{name}.unique[{column}]", duplicates, "keys"))
         for column, parent, parent_column in tests.references:
             orphans = checks.orphan_keys(tables[name], column, tables[parent], parent_column)
             jobs.append(partial(_none_of, f"{name}.relationships[{column}]", orphans, "keys"))
-    fact = tables["fct_trips"]
-    days = checks.unreconciled_days(fact, tables["mart_daily_revenue"])
+    by_day = findings.where("kind = 'days'").groupBy(F.col("value").cast("date").alias("pickup_date"))
+    daily = by_day.agg(F.sum("n").alias("fct_trips"), F.sum("amount").cast("decimal(38,2)").alias("fct_revenue"))
+    days = checks.differing_days(daily, tables["mart_daily_revenue"])
     jobs.append(partial(_none_of, "daily_revenue_reconciles_to_fct", days, "days"))
-    # The zone mart covers all trips even where the other fact tests are limited to some months.
-    gap = checks.unreconciled_zone_total(tables.get("all_fct_trips", fact), tables["mart_zone_performance"])
+    total = findings.where("kind = 'rows' AND key = 'fct_trips'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    gap = checks.differing_total(total, tables["mart_zone_performance"])
     jobs.append(partial(_none_of, "zone_trips_sum_to_fct", gap, "totals"))
     return [result for results in side_by_side(jobs) for result in results]

@@ -35,6 +35,18 @@ def file_names(spark: SparkSession, path: str) -> set[str]:
     return {s.getPath().getName() for s in fs.listStatus(location) if s.isFile()}
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """Seconds since the epoch at which a file or folder last changed."""
+    fs, location = _open(spark, path)
+    return fs.getFileStatus(location).getModificationTime() / 1000
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path in full, with its file system."""
+    fs, location = _open(spark, path)
+    return fs.makeQualified(location).toUri().toString()
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, location = _open(spark, path)
     return fs.delete(location, True)
@@ -46,6 +58,13 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename, making the folders above the target."""
+    fs, location = _open(spark, target)
+    fs.mkdirs(location.getParent())
+    rename(spark, source, target)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     fs, location = _open(spark, path)
     if not fs.exists(location):

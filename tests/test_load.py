@@ -108,10 +108,24 @@ def test_alignment_order_and_extra_columns(spark):
     assert aligned.select("VendorID", "total_amount").first() == (2, 1.0)
 
 
-def test_one_task_file_per_month_is_written_without_shuffle(spark, deliver, table):
+def test_deliveries_are_one_scan_without_shuffle(spark, deliver, table):
     from meterline.sources.trips import read_deliveries
 
     rows = read_deliveries(spark, {m: deliver(m) for m in ("2025-01", "2025-02")})
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
-    assert plan.count("FileScan") == 2  # one for each delivery
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange") == plan.count("BroadcastExchange")  # the list of files
+
+
+def test_absent_columns_are_named_for_each_delivery(spark, deliver, table, caplog):
+    whole, narrow = deliver("2025-01"), deliver("2025-02", change=lambda df: df.drop("cbd_congestion_fee", "extra"))
+    load_months(spark, {"2025-01": whole, "2025-02": narrow}, table)
+    said = [r.message for r in caplog.records if "lacks" in r.message]
+    assert said == ["delivery of 2025-02 lacks extra, cbd_congestion_fee; filled with NULL"]
+
+
+def test_a_delivery_without_files_is_an_error(spark, deliver, table, tmp_path):
+    (tmp_path / "nothing").mkdir()
+    with pytest.raises(Exception, match="no Parquet files delivered for 2025-02"):
+        load_months(spark, {"2025-01": deliver("2025-01"), "2025-02": f"{tmp_path}/nothing"}, table)
+    assert not tables.table_exists(spark, table)

@@ -1,3 +1,4 @@
+import shutil
 from datetime import date, datetime
 
 import pytest
@@ -10,6 +11,7 @@ from meterline.plans import reports, runs
 from meterline.sources import tables
 from meterline.sources.zones import read_zones
 from meterline.streaming.arrival import ingest_arrivals
+from tests.test_safety import lost_at, tried
 
 CONFIG = RunConfig(limits=DeliveryLimits(min_rows=100))
 AT = datetime(2025, 4, 1)
@@ -60,7 +62,7 @@ def test_order_batching_and_repetition_do_not_matter(spark, deliver, zones, tmp_
     for name, steps, config in (
         ("together", [months], CONFIG),
         ("one by one", [["2025-02"], ["2025-01"], ["2025-02"]], CONFIG),
-        ("no sharing", [months[::-1]], RunConfig(limits=CONFIG.limits, batch_bytes=0, test_scope="touched")),
+        ("no sharing", [months[::-1]], RunConfig(limits=CONFIG.limits, batch_bytes=0)),
         ("replace", [["2025-02"], months], RunConfig(limits=CONFIG.limits, fact_mode="replace")),
     ):
         warehouse = runs.Warehouse(f"{tmp_path}/{name}")
@@ -95,15 +97,112 @@ def test_a_poor_delivery_fails_the_run(spark, deliver, zones, warehouse, tmp_pat
         runs.run_months(spark, ["2025-01", "2025-02"], str(tmp_path), warehouse, zones, CONFIG)
 
 
-def test_a_poor_month_stops_a_gated_catch_up(spark, deliver, zones, warehouse, tmp_path):
+def test_a_poor_month_leaves_no_trace_and_later_ones_wait(spark, deliver, zones, warehouse, tmp_path):
     for month, n in (("2025-01", 150), ("2025-02", 50), ("2025-03", 150)):
         deliver(month, n)
-    gated = RunConfig(limits=CONFIG.limits, gate_each_month=True)
-    with pytest.raises(DataQualityError, match="failed for 2025-02: raw_row_count"):
-        runs.run_months(spark, ["2025-01", "2025-02", "2025-03"], str(tmp_path), warehouse, zones, gated, at=AT)
-    assert tables.stored_months(spark, warehouse.raw) == [date(2025, 1, 1), date(2025, 2, 1)]
-    report = runs.run_months(spark, ["2025-01", "2025-03"], str(tmp_path), warehouse, zones, gated, at=AT)
-    assert report.loaded == {"2025-01": 150, "2025-03": 150} and len(report.tests) == 2 * 52
+    with pytest.raises(DataQualityError, match="1 data quality.* failed for 2025-02: raw_row_count -> 50"):
+        runs.run_months(spark, ["2025-01", "2025-02", "2025-03"], str(tmp_path), warehouse, zones, CONFIG, at=AT)
+    january = date(2025, 1, 1)
+    for path in (warehouse.raw, warehouse.fact, warehouse.cells, warehouse.findings):
+        assert tables.stored_months(spark, path) == [january]
+    assert tables.read_table(spark, warehouse.mart("mart_daily_revenue")).where("pickup_date >= '2025-02-01'").isEmpty()
+    published = state(spark, warehouse)
+    with pytest.raises(DataQualityError, match="failed for 2025-02"):
+        runs.run_months(spark, ["2025-02", "2025-03"], str(tmp_path), warehouse, zones, CONFIG, at=AT)
+    assert state(spark, warehouse) == published
+    report = runs.run_months(spark, ["2025-01", "2025-03"], str(tmp_path), warehouse, zones, CONFIG, at=AT)
+    assert report.loaded == {"2025-01": 150, "2025-03": 150} and len(report.tests) == 52
+
+
+def test_a_redelivery_that_fails_keeps_the_published_rows(spark, deliver, zones, warehouse, tmp_path):
+    deliver("2025-01", 150)
+    runs.run_month(spark, "2025-01", str(tmp_path), warehouse, zones, config=CONFIG, at=AT)
+    published = state(spark, warehouse)
+    deliver("2025-01", 150, change=lambda df: df.withColumn("PULocationID", F.lit(77)))
+    with pytest.raises(DataQualityError, match="failed for 2025-01"):
+        runs.run_month(spark, "2025-01", str(tmp_path), warehouse, zones, config=CONFIG, at=AT)
+    assert state(spark, warehouse) == published
+
+
+def test_a_driver_lost_at_any_step_publishes_all_tables_or_none(spark, deliver, zones, tmp_path, monkeypatch):
+    deliver("2025-01", 150)
+    deliver("2025-02", 150, "later/raw")
+    ways = set()
+    warehouse = runs.Warehouse(f"{tmp_path}/w")
+    runs.run_month(spark, "2025-01", str(tmp_path), warehouse, zones, config=CONFIG, at=AT)
+    before = warehouse.opened(spark)
+    months = {"raw": 2, "fact": 2, "cells": 2, "findings": 2}
+    # Writing the warehouse's version and renaming it, then the tables' own versions, then clearing up.
+    for step in (1, 2, 3, 4, 12, 1000):
+        copy = runs.Warehouse(f"{tmp_path}/copy{step}")
+        shutil.copytree(warehouse.root, copy.root)
+        with lost_at(monkeypatch, step):
+            done = tried(
+                lambda: runs.run_month(spark, "2025-02", f"{tmp_path}/later", copy, zones, config=CONFIG, at=AT)
+            )
+        seen = {name: len(s.months) for name, s in copy.snapshot(spark).items() if name in months}
+        assert seen in ({name: 1 for name in months}, months)
+        ways.add(seen == months)
+        states = copy.opened(spark)
+        assert {name: len(states[name].months) for name in months} == seen
+        days = tables.read_state(spark, states["mart_daily_revenue"]).agg(F.max("pickup_date")).first()[0]
+        assert (days.month == 2) == (seen == months)
+    assert done and ways == {True, False} and before.keys() == states.keys()
+
+
+def test_answers_from_findings_equal_those_from_whole_tables(spark, raw_of, zones, warehouse):
+    from meterline.operators import checks
+    from meterline.operators.enrich import derive_measures
+    from meterline.operators.fact import fact_rows
+    from meterline.operators.staging import stage_trips, stage_zones
+    from meterline.plans.data_tests import month_findings, results_by_month, table_tests
+    from tests.conftest import trip
+
+    def at(month, minute, **changes):
+        start = datetime(2025, month, 3, 8, minute)
+        return trip(
+            tpep_pickup_datetime=start, tpep_dropoff_datetime=start.replace(hour=9), source_month=date(2025, month, 1), **changes
+        )
+
+    raw = raw_of(
+        *(at(1, i, VendorID=i % 9, PULocationID=i % 4) for i in range(30)),
+        *(at(2, i, payment_type=i % 9, DOLocationID=i % 5, fare_amount=-1.0 if i % 7 == 0 else 5.0) for i in range(30)),
+    )
+    staged, suite, staged_zones = stage_trips(raw), table_tests(), stage_zones(zones)
+    fact = fact_rows(staged)
+    fact = fact.unionByName(fact.where("pickup_hour = 8 AND source_month = '2025-02-01'"))  # ids that repeat
+    findings = month_findings(raw, fact)
+    own = {"stg_trips": staged, "int_trips": derive_measures(staged), "fct_trips": fact}
+    got = {(r.kind, r.key): r.n for r in findings.groupBy("kind", "key").agg(F.sum("n").alias("n")).collect()}
+    for table, df in own.items():
+        for name, n in checks.count_offenders(df, suite[table].rows).items():
+            assert got.get(("offenders", f"{table}.{name}"), 0) == n, name
+    assert got["repeated", "fct_trips.trip_id"] == checks.duplicate_keys(fact, "trip_id").count() > 0
+    assert got["rows", "raw_trips"] == 60 and got["rows", "fct_trips"] == fact.count()
+    parents = {"stg_zones": staged_zones, "dim_zones": staged_zones}
+    months = [date(2025, 1, 1), date(2025, 2, 1), date(2025, 3, 1)]
+    tests, deliveries = results_by_month(findings, parents, months)
+    for table in ("stg_trips", "fct_trips"):
+        for column, _, parent_column in suite[table].references:
+            for month in months[:2]:
+                lost = checks.orphan_keys(own[table].where(F.col("source_month") == month), column, staged_zones, parent_column)
+                result = next(r for r in tests[month] if r.name == f"{table}.relationships[{column}]")
+                assert result.detail == f"{lost.count():,} offending keys"
+    assert deliveries == checks.check_deliveries(raw, fact, months)
+
+
+def test_only_months_with_new_rows_or_settings_are_looked_at_again(spark, deliver, zones, warehouse, tmp_path):
+    for month in ("2025-01", "2025-02"):
+        deliver(month, 150)
+    runs.run_months(spark, ["2025-01", "2025-02"], str(tmp_path), warehouse, zones, CONFIG, at=AT)
+    first = {p.month: p for p in warehouse.opened(spark)["findings"].parts}
+    runs.run_month(spark, "2025-02", str(tmp_path), warehouse, zones, config=CONFIG, at=AT)
+    second = {p.month: p for p in warehouse.opened(spark)["findings"].parts}
+    assert first[date(2025, 1, 1)] == second[date(2025, 1, 1)] and first[date(2025, 2, 1)] != second[date(2025, 2, 1)]
+    other = RunConfig(limits=CONFIG.limits, allowed=AllowedValues(vendors=(1, 2)))
+    runs.run_month(spark, "2025-02", str(tmp_path), warehouse, zones, config=other, at=AT)
+    third = {p.month: p for p in warehouse.opened(spark)["findings"].parts}
+    assert third[date(2025, 1, 1)].folder != second[date(2025, 1, 1)].folder
 
 
 def test_bad_month_fails_before_anything_is_written(spark, zones, warehouse, tmp_path):

@@ -1,5 +1,9 @@
 """Loads that must not lose rows, columns or accuracy."""
 
+import contextlib
+import os
+import shutil
+import time
 from datetime import date, datetime
 
 import pytest
@@ -9,7 +13,7 @@ from meterline.functions import expressions as X
 from meterline.operators.sampling import sample_files
 from meterline.operators.staging import stage_trips
 from meterline.sources import files, tables
-from meterline.sources.trips import load_months
+from meterline.sources.trips import load_months, read_month
 from tests.conftest import trip
 
 AT = datetime(2025, 5, 1)
@@ -96,24 +100,123 @@ def test_rows_of_different_folders_are_drawn_apart(spark, tmp_path):
     assert len(drawn) == 400 and len(positions) > 300  # 100 if folders shared their draws
 
 
-def test_a_rebuild_that_dies_between_its_renames_keeps_the_table(spark, tmp_path, monkeypatch):
-    table = f"{tmp_path}/tables/history"
-    tables.overwrite_table(spark.range(3), table)
-    rename, calls = files.rename, []
+class Lost(Exception):
+    """The driver, at some step."""
+
+
+@contextlib.contextmanager
+def lost_at(monkeypatch, step):
+    """The driver dies instead of its n-th change of a file or folder."""
+    left = [step]
 
-    def dies_on_the_second(*args):
-        calls.append(args)
-        if len(calls) == 2:
-            raise OSError("driver lost")
-        rename(*args)
+    def dying(change):
+        def call(*args):
+            left[0] -= 1
+            if left[0] == 0:
+                raise Lost
+            return change(*args)
+
+        return call
 
     with monkeypatch.context() as patched:
-        patched.setattr(files, "rename", dies_on_the_second)
-        with pytest.raises(OSError, match="driver lost"):
-            tables.overwrite_table(spark.range(5), table)
-    assert not tables.table_exists(spark, table)
-    tables.restore_interrupted(spark, table)
-    assert tables.read_table(spark, table).count() == 3
+        for name in ("rename", "write_text", "delete"):
+            patched.setattr(files, name, dying(getattr(files, name)))
+        yield
+
+
+def tried(action):
+    try:
+        action()
+    except Lost:
+        return False
+    return True
+
+
+def test_a_driver_lost_at_any_step_of_a_write_leaves_the_old_or_the_new_rows(spark, tmp_path, monkeypatch):
+    months = [date(2025, 1, 1), date(2025, 2, 1)]
+    seen = set()
+    for step in range(1, 30):
+        table = f"{tmp_path}/t{step}"
+        for n in range(tables.KEEP + 1):  # so that versions are cleared too
+            tables.write_months(spark.createDataFrame([(n, m) for m in months], "v int, source_month date"), table, months)
+        with lost_at(monkeypatch, step):
+            batch = spark.createDataFrame([(100, m) for m in months], "v int, source_month date")
+            done = tried(lambda: tables.upsert_by_key(batch, table, "v", months))
+        values = {r.v for r in tables.read_table(spark, table).where("v >= 3").collect()}
+        assert values in ({3}, {3, 100})
+        assert values == {3, 100} or not done
+        assert {r.source_month for r in tables.read_table(spark, table).where("v = 100").collect()} in (set(), set(months))
+        seen.add(100 in values)
+        tables.write_months(spark.createDataFrame([(7, m) for m in months], "v int, source_month date"), table, months)
+        assert {r.v for r in tables.read_table(spark, table).collect()} == {7}
+        if done:
+            break
+    assert done and seen == {True, False}
+
+
+def test_a_read_ends_on_the_rows_it_started_with(spark, tmp_path):
+    table = f"{tmp_path}/t"
+    tables.overwrite_table(spark.range(3), table)
+    started = tables.read_table(spark, table)
+    first = tables.versions(spark, table)[-1]
     tables.overwrite_table(spark.range(5), table)
-    tables.restore_interrupted(spark, table)
-    assert tables.read_table(spark, table).count() == 5
+    assert started.count() == 3 and tables.read_table(spark, table).count() == 5
+    assert tables.read_table(spark, table, first).count() == 3
+    for n in range(tables.KEEP + 2):
+        tables.overwrite_table(spark.range(n), table)
+    assert len(tables.versions(spark, table)) == tables.KEEP
+    assert len([f for f in files.child_folders(spark, table) if f.startswith("write=")]) <= tables.KEEP + 1
+
+
+def test_two_writers_cannot_commit_one_version(spark, tmp_path):
+    table = f"{tmp_path}/t"
+    tables.overwrite_table(spark.range(3), table)
+    one, two = tables.stage_rebuild(spark.range(4), table), tables.stage_rebuild(spark.range(5), table)
+    tables.commit(spark, one, 2)
+    with pytest.raises(tables.Conflict, match="version 2"):
+        tables.commit(spark, two, 2)
+    assert tables.read_table(spark, table).count() == 4
+
+
+def test_abandoned_folders_go_and_fresh_ones_stay(spark, tmp_path):
+    table = f"{tmp_path}/t"
+    tables.overwrite_table(spark.range(3), table)
+    left = [tables.stage_rebuild(spark.range(n), table).parts[0].folder for n in (1, 2)]
+    old = time.time() - (tables.ABANDONED_DAYS + 1) * 86400
+    os.utime(f"{table}/{left[0]}", (old, old))
+    tables.overwrite_table(spark.range(4), table)
+    assert left[0] not in files.child_folders(spark, table) and left[1] in files.child_folders(spark, table)
+
+
+def test_an_upsert_computes_its_batch_once(spark, tmp_path):
+    table, january = f"{tmp_path}/t", date(2025, 1, 1)
+    tables.write_months(spark.createDataFrame([("a", 1, january), ("b", 1, january)], "k string, v int, source_month date"), table, [january])
+    computed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            computed.add(len(batch))
+            yield batch
+
+    batch = spark.createDataFrame([("b", 2, january), ("c", 2, january)], "k string, v int, source_month date")
+    tables.upsert_by_key(batch.mapInPandas(counting, batch.schema), table, "k", [january])
+    assert computed.value == 2
+    assert sorted((r.k, r.v) for r in tables.read_table(spark, table).collect()) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_many_files_of_two_layouts_take_a_bounded_number_of_jobs(spark, raw_of, tmp_path):
+    folder = f"{tmp_path}/yellow_tripdata_2025-03.parquet"
+    delivered(raw_of, f"{tmp_path}/one", 3, 2)
+    counts = raw_of(trip(), trip()).drop("source_month", "loaded_at").withColumn("passenger_count", F.lit(2.0))
+    counts.coalesce(1).write.parquet(f"{tmp_path}/two")
+    os.mkdir(folder)
+    for name in ("one", "two"):
+        file = next(f for f in os.listdir(f"{tmp_path}/{name}") if f.startswith("part"))
+        for i in range(30):
+            shutil.copy(f"{tmp_path}/{name}/{file}", f"{folder}/{i}-{name}.parquet")
+    spark.sparkContext.setJobGroup("layouts", "layouts")
+    rows = read_month(spark, folder, "2025-03", AT)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("layouts"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 10
+    assert rows.count() == 120 and rows.agg(F.sum("passenger_count")).first()[0] == 60 * 1 + 60 * 2
