@@ -142,20 +142,27 @@ def _finding(kind: str, key: Column, n: Column, value: Column | None = None, amo
     ]
 
 
-def _counts(table: DataFrame, counters: dict[tuple[str, str], Column]) -> DataFrame:
-    """Findings (kind, key) of one pass over a table."""
-    names = {f"c{i}": name for i, name in enumerate(counters)}
-    wide = table.groupBy(MONTH).agg(*(counters[name].alias(c) for c, name in names.items()))
-    each = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(v).alias("key"), F.col(c).alias("n")) for c, (k, v) in names.items())))
-    rows = wide.select(MONTH, each.alias("f")).select(MONTH, "f.*")
-    return rows.select(F.col("kind"), *_finding("", F.col("key"), F.col("n"))[1:])
+def _summed(parts: DataFrame) -> DataFrame:
+    """Findings from rows of (kind, key, value, n) and the month."""
+    summed = parts.groupBy(MONTH, "kind", "key", "value").agg(F.sum("n").alias("n"))
+    return summed.select(F.col("kind"), *_finding("", F.col("key"), F.col("n"), F.col("value"))[1:])
 
 
-def _ids(table: DataFrame, name: str, columns: list[str]) -> DataFrame:
-    """The values of some columns with their rows, all in one pass."""
-    each = F.explode(F.array(*(F.struct(F.lit(f"{name}.{c}").alias("key"), F.col(c).alias("value")) for c in columns)))
-    found = table.select(MONTH, each.alias("f")).where("f.value IS NOT NULL").groupBy(MONTH, "f.key", "f.value").count()
-    return found.select(*_finding("ids", F.col("key"), F.col("count"), F.col("value")))
+def _counts(table: DataFrame, counters: dict[tuple[str, str], Column], ids: dict[str, str] | None = None) -> DataFrame:
+    """Findings (kind, key) of one pass over a table, and the rows of each value of the columns ``ids`` (key -> column).
+
+    Rows are counted for each combination of ids first, of which a month has few.
+    """
+    ids, names = ids or {}, {f"c{i}": name for i, name in enumerate(counters)}
+    every = F.count(F.lit(1)).alias("every")
+    wide = table.groupBy(MONTH, *ids.values()).agg(every, *(counters[name].alias(c) for c, name in names.items()))
+
+    def row(kind: str, key: str, value: Column, n: str) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"), value.cast("string").alias("value"), F.col(n).alias("n"))
+
+    rows = [row(kind, key, F.lit(None), c) for c, (kind, key) in names.items()]
+    rows += [row("ids", key, F.col(c), "every") for key, c in ids.items()]
+    return _summed(wide.select(MONTH, F.inline(F.array(*rows))).where("kind <> 'ids' OR value IS NOT NULL"))
 
 
 def month_findings(
@@ -172,14 +179,19 @@ def month_findings(
     watched = {("nulls", c): F.count_if(F.col(c).isNull()) for c in checks.CRITICAL_COLUMNS + checks.INFO_COLUMNS}
     repeated = checks.duplicate_keys(fact, "trip_id", MONTH).groupBy(MONTH).count()
     daily = fact.groupBy(MONTH, "pickup_date").agg(every.alias("n"), F.sum("total_amount").alias("revenue"))
-    references = {t: [column for column, *_ in suite[t].references] for t in ("stg_trips", "fct_trips")}
+
+    def ids(table: str) -> dict[str, str]:
+        return {f"{table}.{column}": column for column, *_ in suite[table].references}
+
     parts = [
         _counts(raw, {("rows", "raw_trips"): every} | watched),
         # The enriched trips hold all staged columns, so one pass serves both tables.
-        _counts(derive_measures(staged), offenders("stg_trips", "int_trips")),
-        _counts(fact, {("rows", "fct_trips"): every, ("rows", "fct_in_month"): in_month} | offenders("fct_trips")),
-        _ids(staged, "stg_trips", references["stg_trips"]),
-        _ids(fact, "fct_trips", references["fct_trips"]),
+        _counts(derive_measures(staged), offenders("stg_trips", "int_trips"), ids("stg_trips")),
+        _counts(
+            fact,
+            {("rows", "fct_trips"): every, ("rows", "fct_in_month"): in_month} | offenders("fct_trips"),
+            ids("fct_trips"),
+        ),
         repeated.select(*_finding("repeated", F.lit("fct_trips.trip_id"), F.col("count"))),
         daily.select(*_finding("days", F.lit("fct_trips"), F.col("n"), F.col("pickup_date"), F.col("revenue"))),
     ]
@@ -188,15 +200,18 @@ def month_findings(
 
 def _orphans(findings: DataFrame, parents: dict[str, DataFrame], suite: dict[str, TableTests], *by: str) -> dict[tuple, int]:
     """(*by, reference) -> distinct values that the parent lacks."""
-    jobs = []
-    for table in _MONTHLY:
-        for column, parent, parent_column in suite[table].references:
-            values = findings.where((F.col("kind") == "ids") & (F.col("key") == f"{table}.{column}"))
-            values = values.select(*by, F.col("value").alias("id")).distinct()
-            known = parents[parent].select(F.col(parent_column).cast("string").alias("id"), F.lit(True).alias("_known")).distinct()
-            lost = values.join(known, "id", "left").where("_known IS NULL").groupBy(*by).count()
-            jobs.append(partial(lambda lost, name: [((*r[:-1], name), r[-1]) for r in lost.collect()], lost, (table, column)))
-    return dict(pair for found in side_by_side(jobs) for pair in found)
+    names = {f"{t}.{column}": (t, column) for t in _MONTHLY for column, *_ in suite[t].references}
+    known = reduce(
+        DataFrame.union,
+        [
+            parents[parent].select(F.lit(f"{t}.{column}").alias("key"), F.col(own).cast("string").alias("value"))
+            for t in _MONTHLY
+            for column, parent, own in suite[t].references
+        ],
+    )
+    values = findings.where("kind = 'ids'").select(*by, "key", "value").distinct()
+    lost = values.join(known.distinct().withColumn("_known", F.lit(True)), ["key", "value"], "left").where("_known IS NULL")
+    return {(*r[:-2], names[r.key]): r["count"] for r in lost.groupBy(*by, "key").count().collect()}
 
 
 def _monthly_results(counts: dict[tuple[str, str], int], orphans: dict[tuple[str, str], int], suite: dict[str, TableTests]) -> dict:
