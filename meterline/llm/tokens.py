@@ -2,10 +2,13 @@
 
 A byte-level BPE file cuts a text, before any merge, in places that need no look at what stands
 further away: before a space that no white space follows, before and after a line end that none
-follows, and between a letter or digit and a comma or full stop. The ids of a text are therefore those
+follows, and between a letter or digit and a sign. The ids of a text are therefore those
 of the units between such places, one after the other. The cut before a line end is left out after a sign
-of ASCII, where it changes nothing; after white space it keeps the line end from joining the rest of its run. Units repeat a great deal: the library encodes each
-once per worker, and the rest is looked up.
+of ASCII, where it changes nothing; after white space it keeps the line end from joining the rest of its run.
+
+Units repeat a great deal: the library encodes each once per worker, and the rest is looked up. A worker keeps units
+and ids of ``CACHE_BYTES`` at most, none longer than ``LONGEST_KEPT``, and starts anew beyond. New units go
+to the library many at a time, with a mark between them that it knows as a token of its own.
 """
 
 from __future__ import annotations
@@ -20,9 +23,16 @@ import pyarrow as pa
 from meterline.llm.words import byte_runs
 
 END_ID = 0
-#: A worker's units in memory; beyond it the worker starts anew.
-CACHE_UNITS = 700_000
-_LEARN = 2048
+#: What a worker's units and their ids may hold in memory; beyond it the worker starts anew.
+CACHE_BYTES = 256 << 20
+#: Longer units, such as lines without spaces, are encoded each time.
+LONGEST_KEPT = 256
+#: Bytes of a unit's entry besides its text and ids.
+_ENTRY = 160
+_LEARN_UNITS, _LEARN_BYTES, _RUN_BYTES = 4096, 1 << 18, 1 << 22
+# Characters that no text is meant to hold; a unit that does is encoded by itself. No end of the mark is also a beginning
+# of it, so it is found between units wherever it stands.
+_MARK = "\ue0ff\ue0fecut\ue0fd"
 
 
 def _marked(*ranges: tuple[int, int]) -> np.ndarray:
@@ -35,6 +45,7 @@ def _marked(*ranges: tuple[int, int]) -> np.ndarray:
 # First bytes of characters that are never white space, whatever list of white space is used.
 _NOT_SPACE = _marked((0x21, 0x7E), (0xC3, 0xDF), (0xE4, 0xEE), (0xF0, 0xF4))
 _SIGN = _marked((0x21, 0x7E))
+_MARKS = _marked((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E))
 _ALNUM = _marked((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A))
 # First bytes of the Latin letters of two bytes; the first of them also begins two signs.
 _LATIN = _marked((0xC3, 0xC8))
@@ -59,7 +70,7 @@ def unit_starts(data: np.ndarray, doc_bytes: np.ndarray) -> np.ndarray:
         at[:-1] |= (data[:-1] == 0x20) & followed
         at[1:-1] |= line_end[1:] & ~_SIGN[data[:-2]]
         at[1:] |= line_end
-        mark = np.flatnonzero((data == 0x2C) | (data == 0x2E))
+        mark = np.flatnonzero(_MARKS[data])
         mark = mark[mark > 1]
         last, before = data[mark - 1], data[mark - 2]
         sign = (before == 0xC3) & ((last == 0x97) | (last == 0xB7))
@@ -70,44 +81,84 @@ def unit_starts(data: np.ndarray, doc_bytes: np.ndarray) -> np.ndarray:
 class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
-        from tokenizers import Tokenizer
+        from tokenizers import AddedToken, Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.tokenizer.add_tokens([AddedToken(_MARK, normalized=False)])
+        self.mark = self.tokenizer.token_to_id(_MARK)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.encode_special_tokens = True
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.ids, self.used = np.empty(1 << 16, np.uint32), 0
-        self.first = np.zeros(1 << 12, np.int64)
-
-    def _learn(self, units: list[bytes]) -> None:
-        for at in range(0, len(units), _LEARN):
-            part, n = units[at : at + _LEARN], len(self.known)
-            texts = [x.decode(errors="replace") for x in part]
-            found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            flat = np.array(list(chain.from_iterable(x.ids for x in found)), np.uint32)
-            while n + len(part) + 1 > len(self.first):
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            self.ids[self.used : self.used + len(flat)] = flat
-            self.first[n + 1 : n + 1 + len(part)] = self.used + np.cumsum([len(x) for x in found])
-            self.used += len(flat)
-            self.known.update(zip(part, range(n, n + len(part))))
+        self.held = 0
+        self.ids, self.first = np.empty(1 << 16, np.uint32), np.zeros(1 << 12, np.int64)
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, one after the other, and how many each has."""
+        if any(_MARK in x for x in texts):
+            found = [x.ids for x in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.array(list(chain.from_iterable(found)), np.uint32), np.array([len(x) for x in found], np.int64)
+        joined = self.tokenizer.encode_batch_fast([_MARK.join(texts)], add_special_tokens=False)[0].ids
+        ids = np.array(joined, np.uint32)
+        cut = np.flatnonzero(ids == self.mark)
+        bounds = np.concatenate([[-1], cut, [len(ids)]])
+        return np.delete(ids, cut), np.diff(bounds) - 1
+
+    def _append(self, units: list[bytes], at: int) -> None:
+        """Encode units and keep their ids as numbers from ``at`` on."""
+        low = 0
+        while low < len(units):
+            high, size = low, 0
+            while high < len(units) and high - low < _LEARN_UNITS and size < _LEARN_BYTES:
+                size += len(units[high])
+                high += 1
+            ids, sizes = self._ids([x.decode(errors="replace") for x in units[low:high]])
+            n, used = at + low, int(self.first[at + low])
+            if n + len(sizes) + 1 > len(self.first):
+                self.first = np.concatenate([self.first, np.zeros(max(len(self.first), len(sizes)), np.int64)])
+            if used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty(max(len(self.ids), len(ids)), np.uint32)])
+            self.ids[used : used + len(ids)] = ids
+            self.first[n + 1 : n + 1 + len(sizes)] = used + np.cumsum(sizes)
+            low = high
 
     def _numbers(self, units: list[bytes]) -> np.ndarray:
         found = list(map(self.known.get, units))
         new = [x for x, n in zip(units, found) if n is None]
-        if len(self.known) + len(new) > CACHE_UNITS:
-            self._clear()
-            new, found = units, [None] * len(units)
         if new:
-            following = iter(range(len(self.known), len(self.known) + len(new)))
-            self._learn(new)
-            found = [next(following) if n is None else n for n in found]
+            kept = [x for x in new if len(x) <= LONGEST_KEPT]
+            # An id stands for one byte at least.
+            held = sum(map(len, kept)) * 5 + _ENTRY * len(kept)
+            if self.held + held > CACHE_BYTES:
+                self._clear()
+                return self._fresh(units)
+            self._keep(kept, held)
+            passing = [x for x in new if len(x) > LONGEST_KEPT]
+            self._append(passing, len(self.known))
+            number = iter(range(len(self.known), len(self.known) + len(passing)))
+            found = [n if n is not None else self.known[x] if len(x) <= LONGEST_KEPT else next(number) for x, n in zip(units, found)]
         return np.array(found, np.int64)
 
+    def _keep(self, units: list[bytes], held: int) -> None:
+        n = len(self.known)
+        self._append(units, n)
+        self.known.update(zip(units, range(n, n + len(units))))
+        self.held += held
+
+    def _fresh(self, units: list[bytes]) -> np.ndarray:
+        """Numbers of units with nothing known; only as many are kept as may be."""
+        self._append(units, 0)
+        for number, x in enumerate(units):
+            held = 5 * len(x) + _ENTRY
+            if len(x) > LONGEST_KEPT or self.held + held > CACHE_BYTES:
+                break
+            self.known[x] = number
+            self.held += held
+        return np.arange(len(units))
+
     def encode(self, data: np.ndarray, doc_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents, each with the end id, one after the other, and where each begins."""
         starts = unit_starts(data, doc_bytes)
@@ -129,5 +180,5 @@ class Encoder:
 
 def encoded(batch: pa.RecordBatch, column: str, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """The binary column in runs of rows: first row, last row + 1, their ids, where each row's ids begin."""
-    for at, to, data, doc_bytes in byte_runs(batch, column):
+    for at, to, data, doc_bytes in byte_runs(batch, column, _RUN_BYTES):
         yield at, to, *encoder(path).encode(data, doc_bytes)

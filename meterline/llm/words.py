@@ -120,14 +120,16 @@ def words_of(data: np.ndarray, doc_bytes: np.ndarray) -> Words:
     return Words(data, doc_bytes, starts, ends, np.searchsorted(starts, doc_bytes))
 
 
-def byte_runs(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def byte_runs(
+    batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """The binary column in runs of some megabytes: first row, last row + 1, bytes, where each row's begin."""
     texts = batch.column(column).cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(texts.buffers()[2], np.uint8) if len(texts) and offsets[-1] > offsets[0] else np.empty(0, np.uint8)
     at = 0
     while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 
