@@ -13,8 +13,8 @@ cut its first ``WINDOW - 1`` lines differently, so as many more lines are compar
 Every line that goes stands in the same place of a passage in an earlier document, or further up in its own.
 
 Only DataFrame functions are used. Groups are counted per task before the shuffle; where the copies
-stand is found by a join on 128 bits of hash, which adaptive execution can split. A row's removed
-chunks meet in one row, as its text does.
+stand is found by a join on 128 bits of hash of two written tables, which adaptive execution splits where a chunk stands
+in very many documents. A row's removed chunks meet in one row, as its text does.
 
 Defined cases: a null text stays null and has no lines; an empty one has one empty line. Rows without id come
 last: their chunks go if a document with an id has them too, and stay otherwise. Rows that repeat an
@@ -23,7 +23,7 @@ id and text are one document. Other columns, whatever their names, pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.storage import stored
@@ -145,14 +145,21 @@ def repeated_chunks(docs: DataFrame, extend: bool = False) -> DataFrame:
     )
     groups = chunks.groupBy("text").agg(F.count(F.lit(1)).alias("times"), F.min("doc_id").alias("first_doc"))
     groups = groups.where("times > 1").select(*_keys(F.col("text")), "first_doc")
-    places = chunks.select("doc_id", "text_hash", "chunk", *_keys(F.col("text")), *around).join(groups, ["k1", "k2"])
-    # In the document that comes first, the first of its places stays.
-    own = Window.partitionBy("doc_id", "text_hash", "k1", "k2").orderBy("chunk")
-    stays = F.col("doc_id").eqNullSafe(F.col("first_doc")) & (F.dense_rank().over(own) == 1)
+    # Stored, with plain tables on both sides of the join: nothing above it needs the places of a chunk together.
+    groups = stored(groups, "groups")
+    places = stored(chunks.select("doc_id", "text_hash", "chunk", *_keys(F.col("text")), *around).join(groups, ["k1", "k2"]), "places")
+    # In the document that comes first, the first of its places stays; one row of each task and chunk is shuffled.
+    own = ["doc_id", "text_hash", "k1", "k2"]
+    firsts = places.where(F.col("doc_id").eqNullSafe(F.col("first_doc"))).groupBy(*own).agg(F.min("chunk").alias("chunk"))
+    firsts = stored(firsts, "firsts").select(*(F.col(c).alias(f"f_{c}") for c in (*own, "chunk")))
+    same = F.lit(True)
+    for c in (*own, "chunk"):
+        same = same & F.col(c).eqNullSafe(F.col(f"f_{c}"))
     if not extend:
-        gone = places.select("doc_id", "text_hash", "chunk", stays.alias("stays")).where("NOT stays")
-        return gone.groupBy("doc_id", "text_hash").agg(F.collect_set("chunk").alias("gone"))
-    places = stored(places.withColumn("stays", stays).drop("first_doc"), "places")
+        gone = places.select(*own, "chunk").join(firsts, same, "left_anti").select("doc_id", "text_hash", "chunk")
+        return stored(gone, "gone_chunks").groupBy("doc_id", "text_hash").agg(F.collect_set("chunk").alias("gone"))
+    stays = F.col("f_k1").isNotNull().alias("stays")
+    places = stored(places.join(firsts, same, "left").select(*own, "chunk", *around, stays), "places")
     first = places.where("stays").groupBy("k1", "k2").agg(F.min(F.struct("text_hash", "chunk", *around)).alias("f"))
     first = first.select("k1", "k2", F.col("f.before").alias("f_before"), F.col("f.after").alias("f_after"))
     gone = places.where("NOT stays").join(first.hint("merge"), ["k1", "k2"]).select(

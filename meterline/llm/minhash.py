@@ -280,5 +280,6 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows_each: int = ROWS) -> DataFrame:
     """All columns of the documents that stay: one of each group, and those without id."""
-    groups = near_duplicates(docs, percent, bands, rows_each).where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(groups, docs["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    gone = near_duplicates(docs, percent, bands, rows_each).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")

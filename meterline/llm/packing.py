@@ -7,7 +7,7 @@ has a gap, which is filled from the shorter tiers: the longest remaining piece t
 again, and at last one piece cut to fill the window exactly; its rest is routed anew. When nothing
 shorter is left the shortest piece of the own tier is cut instead. So all windows of a pool are full
 but its last; that goes back to the next pool of the task, and at the task's end it is cut into windows
-of shorter tiers, so that less than the shortest tier is padded in each task.
+of shorter tiers and, below the shortest, of powers of two, so that nothing is padded.
 
 Full windows are dealt to step groups of ``GROUP_IDS`` ids each, every group from windows of one tier,
 so that all steps cost the same; only a tier's last group in a task may be smaller.
@@ -112,12 +112,13 @@ class Packer:
                     return
 
     def _cut_up(self, window: list[Piece]) -> Iterator[list[Piece]]:
-        """An open window as full windows of shorter tiers, and one that needs padding."""
+        """An open window as full windows of shorter tiers, and of powers of two below the shortest."""
         rest = list(window)
-        for size in [*self.tiers, self.tiers[-1]]:
-            while sum(n for *_, n in rest) >= size or (rest and size == self.tiers[-1]):
+        shorter = [1 << k for k in range((self.tiers[-1] - 1).bit_length() - 1, -1, -1)]
+        for size in [*self.tiers, *shorter]:
+            while sum(n for *_, n in rest) >= size:
                 out, gap = [], size
-                while rest and gap:
+                while gap:
                     doc, start, n = rest.pop(0)
                     out.append((doc, start, min(n, gap)))
                     if n > gap:
@@ -144,7 +145,7 @@ def _pieces(tokenizer: str, tiers: tuple[int, ...], group_ids: int):
         def put(window: list[Piece]) -> None:
             nonlocal sequences, groups
             total = sum(n for *_, n in window)
-            size = min(t for t in tiers if t >= total)
+            size = total if total < tiers[-1] else min(t for t in tiers if t >= total)
             group = open_groups.get(size)
             if group is None or group[1] + size > group_ids:
                 group = open_groups[size] = [groups, 0]
@@ -196,7 +197,7 @@ def _pieces(tokenizer: str, tiers: tuple[int, ...], group_ids: int):
 def pack(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIERS, group_ids: int = GROUP_IDS) -> DataFrame:
     """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, context_size, step_group.
 
-    ``context_size`` is that of the sequence's tier: only the last sequence of a task has fewer ids.
+    ``context_size`` is that of the sequence's tier, or the power of two that it holds; every sequence is full.
     """
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("body"))

@@ -7,9 +7,9 @@ distributions). It fails if one distance is over its limit, or if the base rules
 
 Guards: a document of fewer than ``MIN_WORDS`` words fails the base rule and is not compared; as a
 short text strays from any reference by chance alone, each limit grows with its slack / sqrt(n_words).
-A language whose documents hold fewer than ``MIN_REFERENCE_WORDS`` words has no reference, and its
-documents pass. At most ``MAX_LANGUAGES`` references are made, for those with the most words; this
-bounds what is sent to every task (about 1 kB each).
+Every language has a reference, however many languages there are and however few documents one has: references are a
+table of a row each, joined to the documents by language. A document that is much of its language's text is near its
+reference by construction and passes.
 
 Defined cases: null and empty texts have no words and fail the base rule. A null language is one of
 its own. Repeated rows are judged each by itself; ties among common words go to the smaller hash.
@@ -18,20 +18,17 @@ its own. Repeated rows are judged each by itself; ties among common words go to
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.storage import mapped
+from meterline.llm.storage import mapped, stored
 from meterline.llm.words import Words, chunks, mix, roll, signed
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 COMMON = 64
-MIN_REFERENCE_WORDS = 10_000
-MAX_LANGUAGES = 1000
 CHAR_LIMIT, CHAR_SLACK = 0.24, 0.5
 WORD_LIMIT, WORD_SLACK = 0.3, 1.8
 _ROWS = 200_000
@@ -50,17 +47,6 @@ _SYMBOLS = [ord(c) for c in "#*$%&|<>"]
 _CLASS[_SYMBOLS] = 5
 
 
-@dataclass
-class References:
-    """By language: character classes, common words (all languages' hashes, sorted) and their shares."""
-
-    languages: dict[str | None, int]
-    chars: np.ndarray
-    words: np.ndarray
-    slots: np.ndarray  # language x word: its place among the language's common words, or COMMON
-    shares: np.ndarray
-
-
 def _class_counts(words: Words) -> np.ndarray:
     """Documents x classes."""
     n = len(words.counts)
@@ -107,38 +93,54 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from out()
 
 
-def _body(docs: DataFrame, *columns: str) -> DataFrame:
+def _body(docs: DataFrame, *columns: Column) -> DataFrame:
     text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     return docs.select(*columns, F.col("lang").cast("string").alias("lang"), text.alias("body"))
 
 
-def references(docs: DataFrame) -> References:
-    """From all documents; what reaches the driver is bounded by languages and common words."""
+_REFERENCE = ["chars", "words", "shares"]
+
+
+def references(docs: DataFrame) -> DataFrame:
+    """ref_lang, chars (shares of the character classes), words (hashes of the common words) and their shares."""
     counts = mapped(_body(docs), _counted, "lang string, kind int, key long, n long")
     counts = counts.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
     # The most frequent words by language; the window's limit is applied before its shuffle too.
     place = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
     top = counts.select("*", place.alias("place")).where(F.col("place") <= F.lit(COMMON))
-    total = counts.where("kind = 1").groupBy("lang").agg(F.sum("n").alias("total"))
-    total = total.where(F.col("total") >= MIN_REFERENCE_WORDS).orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
-    found = top.join(total, top["lang"].eqNullSafe(total["lang"])).select(top["lang"], "kind", "key", "n", "total")
-    rows = found.collect()
-    languages = {x: i for i, x in enumerate(sorted({r.lang for r in rows}, key=lambda x: (x is not None, x)))}
-    words = np.unique(np.array([r.key for r in rows if r.kind == 1], np.int64).view(np.uint64))
-    chars = np.zeros((len(languages), _CLASSES))
-    slots = np.full((len(languages), len(words) + 1), COMMON, np.int16)
-    shares = np.zeros((len(languages), COMMON + 1))
-    used = [0] * len(languages)
-    for r in sorted((r for r in rows), key=lambda r: (-r.n, r.key)):
-        i = languages[r.lang]
-        if r.kind == 0:
-            chars[i, r.key] = r.n
-        else:
-            slots[i, np.searchsorted(words, np.uint64(r.key % (1 << 64)))] = used[i]
-            shares[i, used[i]] = r.n / r.total
-            used[i] += 1
-    shares[:, COMMON] = 1 - shares[:, :COMMON].sum(1)
-    return References(languages, chars / np.maximum(chars.sum(1, keepdims=True), 1), words, slots, shares)
+    total = counts.where("kind = 1").groupBy(F.col("lang").alias("of")).agg(F.sum("n").alias("total"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("kind") == 1, F.struct("place", "key", "n"))))
+    by_class = F.map_from_entries(F.collect_list(F.when(F.col("kind") == 0, F.struct("key", "n"))))
+    rows = top.groupBy("lang").agg(listed.alias("common"), by_class.alias("classes"))
+    rows = rows.join(total, F.col("lang").eqNullSafe(F.col("of")))
+    classes = F.array(*(F.coalesce(F.element_at("classes", F.lit(i).cast("long")), F.lit(0)) for i in range(_CLASSES)))
+    signs = F.greatest(F.aggregate("counted", F.lit(0).cast("long"), lambda a, x: a + x), F.lit(1))
+    rows = rows.select("lang", "common", "total", classes.alias("counted"))
+    return rows.select(
+        F.col("lang").alias("ref_lang"), F.transform("counted", lambda x: x / signs).alias("chars"),
+        F.transform("common", lambda x: x["key"]).alias("words"), F.transform("common", lambda x: x["n"] / F.col("total")).alias("shares"),
+    )
+
+
+def _distances(
+    words: Words, hashes: np.ndarray, classes: np.ndarray, mine: np.ndarray, reference: dict
+) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of the documents ``mine`` from the reference of their language."""
+    common = np.array(reference["words"], np.int64).view(np.uint64)
+    order = np.argsort(common)
+    shares = np.zeros(COMMON + 1)
+    shares[: len(common)] = reference["shares"]
+    shares[COMMON] = 1 - shares[:COMMON].sum()
+    doc = words.doc_of_word()
+    own = mine[doc]
+    number = np.cumsum(mine) - 1
+    where = np.searchsorted(common[order], hashes[own])
+    found = order[np.minimum(where, len(common) - 1)]
+    slot = np.where(common[found] == hashes[own], found, COMMON)
+    n = int(mine.sum())
+    hist = np.bincount(number[doc[own]] * (COMMON + 1) + slot, minlength=n * (COMMON + 1)).reshape(n, COMMON + 1)
+    chars = np.array(reference["chars"])[None]
+    return divergence(_share(classes[mine]), chars), divergence(_share(hist), shares[None])
 
 
 def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -171,7 +173,7 @@ def _share(counts: np.ndarray) -> np.ndarray:
     return counts / np.maximum(counts.sum(1, keepdims=True), 1)
 
 
-def _judged(refs: References, columns: list[str]):
+def _judged(columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = batch.column("lang").to_pylist()
@@ -185,19 +187,15 @@ def _judged(refs: References, columns: list[str]):
                 text = words.data.tobytes()
                 dups = [_dup_lines(text[a:b]) for a, b in zip(words.doc_bytes, words.doc_bytes[1:])]
                 base_failed = (n_words < MIN_WORDS) | (100 * repeats > MAX_REPEAT_PERCENT * n_words)
-                lang = np.array([refs.languages.get(x, -1) for x in langs[low:high]], np.int64)
-                chars = np.zeros(n)
-                common = np.zeros(n)
-                known = lang >= 0
-                if known.any():
-                    where = np.searchsorted(refs.words, hashes)
-                    missing = (where == len(refs.words)) | (refs.words[np.minimum(where, len(refs.words) - 1)] != hashes)
-                    where[missing] = len(refs.words)
-                    doc = words.doc_of_word()
-                    slot = refs.slots[lang[doc], where].astype(np.int64)
-                    hist = np.bincount(doc * (COMMON + 1) + slot, minlength=n * (COMMON + 1)).reshape(n, COMMON + 1)
-                    chars = np.where(known, divergence(_share(classes), refs.chars[lang]), 0)
-                    common = np.where(known, divergence(_share(hist), refs.shares[lang]), 0)
+                chars, common = np.zeros(n), np.zeros(n)
+                first = {x: i for i, x in reversed(list(enumerate(langs[low:high])))}
+                code = {x: i for i, x in enumerate(first)}
+                lang = np.array([code[x] for x in langs[low:high]])
+                for x, i in code.items():
+                    reference = {c: batch.column(c)[low + first[x]].as_py() for c in _REFERENCE}
+                    if reference["words"]:  # a language without words has nothing to compare
+                        mine = lang == i
+                        chars[mine], common[mine] = _distances(words, hashes, classes, mine, reference)
                 slack = 1 / np.sqrt(np.maximum(n_words, 1))
                 kept = ~base_failed & (chars <= CHAR_LIMIT + CHAR_SLACK * slack) & (common <= WORD_LIMIT + WORD_SLACK * slack)
                 yield pa.record_batch(
@@ -224,15 +222,22 @@ _RESULT = (
 )
 
 
+def _with_references(docs: DataFrame, column: Column) -> DataFrame:
+    """Bodies of the documents with the reference of their language."""
+    # A table, so that the join can be split by rows of a language that most documents have.
+    known = stored(references(docs), "references")
+    return _body(docs, column).join(known, F.col("lang").eqNullSafe(F.col("ref_lang")), "left").drop("ref_lang")
+
+
 def quality(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, both distances (0 where none was taken) and kept, for each row."""
-    rows = _body(docs, F.col("doc_id").cast("long").alias("doc_id"))
-    return mapped(rows, _judged(references(docs), ["doc_id"]), f"doc_id long, {_RESULT}")
+    rows = _with_references(docs, F.col("doc_id").cast("long").alias("doc_id"))
+    return mapped(rows, _judged(["doc_id"]), f"doc_id long, {_RESULT}")
 
 
 def good_documents(docs: DataFrame) -> DataFrame:
     """All columns of the rows that are kept."""
-    rows = _body(docs, F.struct("*").alias("row"))
+    rows = _with_references(docs, F.struct("*").alias("row"))
     kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    judged = mapped(rows, _judged(references(docs), ["row"]), f"row {kind}, {_RESULT}")
+    judged = mapped(rows, _judged(["row"]), f"row {kind}, {_RESULT}")
     return judged.where("kept").select("row.*")

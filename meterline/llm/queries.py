@@ -172,6 +172,9 @@ def _divide(name: str, above: str, own: str, source: str, parent: str) -> str:
 
 
 def _mixing_sql() -> str:
+    shut = ", ".join(f"'{path}'" for path, weight in WEIGHTS.items() if weight == 0)
+    # What stands below a node of weight 0 counts in no cap above it.
+    closed = f"d IN ({shut}) OR concat_ws('/', d, l) IN ({shut}) OR concat_ws('/', d, l, s) IN ({shut})" if shut else "false"
     return rf"""
 WITH units AS (
   SELECT doc_id, source, lang, source AS s, lang AS l,
@@ -179,7 +182,8 @@ WITH units AS (
     len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
   FROM documents
 ), leaves AS (
-  SELECT d, l, s, CAST(sum(words) AS BIGINT) AS supply, CAST(sum(words) * {MIX_EPOCHS} AS BIGINT) AS cap FROM units GROUP BY ALL
+  SELECT d, l, s, CAST(sum(words) AS BIGINT) AS supply, CASE WHEN {closed} THEN 0 ELSE CAST(sum(words) * {MIX_EPOCHS} AS BIGINT) END AS cap
+  FROM units GROUP BY ALL
 ), top AS (SELECT CAST(floor(sum(supply) * {MIX_PERCENT} / 100) AS BIGINT) AS amount FROM leaves),
 {_divide("by_domain", "", "d", "leaves", "top")},
 {_divide("by_lang", "d", "l", "leaves", "by_domain")},

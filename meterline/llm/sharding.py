@@ -36,12 +36,18 @@ def _prefix(bits: int | Column) -> Column:
 
 def assigned(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     """doc_id, bytes, shard (hash prefix), shard_bytes of each row, and its unit (id as text, or a hash)."""
+    return _assigned(docs.select(*_unit(), F.monotonically_increasing_id().alias("number")), limit).drop("number")
+
+
+def _unit() -> list[Column]:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     unit = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.md5(text)))
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), unit.alias("unit"), F.octet_length(text).cast("long").alias("bytes"),
-        F.monotonically_increasing_id().alias("number"),
-    )
+    size = F.octet_length(text).cast("long")
+    return [F.col("doc_id").cast("long").alias("doc_id"), unit.alias("unit"), size.alias("bytes")]
+
+
+def _assigned(rows: DataFrame, limit: int) -> DataFrame:
+    """The shard of each of the rows (doc_id, unit, bytes, number); rows of one unit are told apart by their number."""
 
     def bits(value: Column) -> Column:
         return F.lpad(F.bin(value), _HASH_BITS, "0")
@@ -70,7 +76,7 @@ def assigned(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
         placed = stored(
             open_.withColumn("fine", _prefix(to)).join(places, "fine", "left").drop("fine"), "placed"
         )
-        done.append(placed.where("shard IS NOT NULL").select("doc_id", "bytes", "shard", "shard_bytes", "unit"))
+        done.append(placed.where("shard IS NOT NULL").select("doc_id", "bytes", "shard", "shard_bytes", "unit", "number"))
         open_, depth = placed.where("shard IS NULL").drop("shard", "shard_bytes"), to
         if depth == 2 * _HASH_BITS or open_.isEmpty():
             out = done[0]
@@ -79,19 +85,23 @@ def assigned(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
             return out
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> None:
-    """All columns of a stored table of documents, in a folder for each shard.
+def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES) -> str:
+    """All columns of the documents, in a folder for each shard as ``assigned``; the name of the folders' column.
 
-    Rows that repeat an id may be in any of its shards.
+    That is ``shard``, with as many underscores behind it as tell it from the documents' own columns. Its values are the
+    hash prefixes behind an s, as readers take bare digits for numbers.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    unit = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("t"), F.md5(text)))
-    own = docs.select(F.struct("*").alias("row"), unit.alias("unit"), F.monotonically_increasing_id().alias("number"))
-    shards = assigned(docs, limit).groupBy("unit").agg(F.collect_set("shard").alias("shards"))
-    # Copies of one id are dealt over its shards evenly.
-    pick = F.element_at(F.array_sort("shards"), (F.pmod(F.xxhash64("number"), F.size("shards")) + 1).cast("int"))
-    rows = own.join(shards, "unit").select("row.*", pick.alias("__shard"))
-    rows.repartition("__shard").write.partitionBy("__shard").parquet(path)
+    name = "shard"
+    while name.lower() in (c.lower() for c in docs.columns):
+        name += "_"
+    # Stored with their numbers, each row goes to the shard that its own bytes were counted for.
+    rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n")), "numbered")
+    units = rows.select("row.doc_id", "row.text", "n")
+    shards = _assigned(units.select(*_unit(), F.col("n").alias("number")), limit)
+    shards = stored(shards.select("number", F.col("shard").alias("to")), "shards")
+    out = rows.join(shards, F.col("n") == F.col("number")).select("row.*", F.concat(F.lit("s"), "to").alias(name))
+    out.repartition(name).write.partitionBy(name).parquet(path)
+    return name
 
 
 def oracle_sql(limit: int, bits: int = 24) -> str:

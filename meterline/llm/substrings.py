@@ -15,9 +15,12 @@ shows its windows to the open ones. At each level only what was repeated at the
 looked at, and the search ends when nothing is left. The last level compares 128 bits of hash, so unequal
 windows are in effect never taken for equal; the levels before only narrow the search.
 
-Counts are summed per task before they are shuffled, and survivors are found by joins that adaptive
-execution can split, so a window with a third of all occurrences is no hot spot. The positions of one
-document meet in one row, as its text does.
+Counts are summed per task before they are shuffled, and repeated keys are written to tables, so that the joins that
+find survivors have plain tables on both sides: adaptive execution splits these, and a window with a third of all
+occurrences is no hot spot. The positions of one document meet in one row, as its text does.
+
+Texts of any length are worked on whole, in memory of some times their size. Columns besides id and text do not matter;
+an empty table gives an empty result.
 
 Defined cases: null and empty texts, and texts of fewer words, lose nothing. Rows that repeat a document,
 id and text, count as other places. Rows without id are treated like all others.
@@ -219,8 +222,8 @@ def _removed(min_words: int):
 
 
 def _twice(rows: DataFrame, *keys: str) -> DataFrame:
-    """Keys that occur more than once."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    """Keys that occur more than once, as a table: a join with plain tables on both sides can be split."""
+    return stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "twice")
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -267,6 +270,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     windows = stored(windows, "windows")
     found = windows.groupBy("whole", "whole2").agg(F.sum("times").alias("n")).where("n > 1").drop("n")
+    found = stored(found, "found")
     repeated = windows.where("times = 1").join(found, ["whole", "whole2"], "left_semi").select("uid", "place")
     gone = shown.where("settled").select("uid", "place", F.lit(True).alias("settled"))
     gone = gone.unionByName(repeated.withColumn("settled", F.lit(False))).groupBy("uid").agg(
@@ -292,15 +296,17 @@ def _shown(anchors: DataFrame) -> DataFrame:
     around = anchors.groupBy("around", "around2").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("uid", "place")).alias("one")
     )
-    judged = anchors.join(around.where("n > 1"), ["around", "around2"], "left").select(
+    around = stored(around.where("n > 1"), "around")
+    judged = anchors.join(around, ["around", "around2"], "left").select(
         "uid", "place", "key", "right", "left", F.col("n").isNotNull().alias("settled"),
         F.coalesce((F.col("one.uid") == F.col("uid")) & (F.col("one.place") == F.col("place")), F.lit(False)).alias("one"),
     )
     sides = F.explode(F.array("right", "left")).alias("side")
     every = anchors.select(sides).where("side <> 0")
     open_ = judged.where("NOT settled").select("uid", "place", "key", sides).where("side <> 0")
-    open_ = open_.join(_twice(every, "side"), "side", "left_semi").select("uid", "place", "key").distinct()
-    one = judged.where("one").join(open_.select("key").distinct(), "key", "left_semi")
+    # Plain tables again: what is summed up above a join would else keep it from being split.
+    open_ = stored(open_.join(_twice(every, "side"), "side", "left_semi").select("uid", "place", "key"), "sides").distinct()
+    one = judged.where("one").join(stored(open_.select("key").distinct(), "keys"), "key", "left_semi")
     kinds = [
         judged.where("settled").select("uid", "place", F.lit(True).alias("settled"), F.lit(0).alias("times")),
         one.select("uid", "place", F.lit(False).alias("settled"), F.lit(2).alias("times")),

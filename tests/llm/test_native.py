@@ -7,9 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from meterline.llm import licences, lines, mixing, quality, queries, sharding
+from meterline.llm import licences, lines, minhash, mixing, quality, queries, sharding, substrings
 from meterline.session import scratch_path
-from tests.llm.samples import documents, rows, words
+from tests.llm.samples import documents, prose, rows, words
 
 
 def by_lang():
@@ -248,3 +248,71 @@ def test_divergence(p, q, want):
 def test_domain_of_any_source(spark):
     frame = spark.createDataFrame([("src0",), ("src4",), ("x",), (None,)], "source string")
     assert [r[0] for r in frame.select(queries.domain()).collect()] == ["web", "books", "forums", "forums"]
+
+
+def test_every_language_is_judged_by_its_own_reference(spark):
+    data = [(i, prose(i, 120), f"l{i % 400}", "s", 1) for i in range(1200)]
+    # Junk in a small language: as far from its reference as in a large one.
+    junk = "%%% $$$ ### " * 60
+    data += [(5000, junk + prose(1, 5), "l7", "s", 1), (5001, prose(3, 200), "alone", "s", 1), (5002, prose(4, 200), None, "s", 1)]
+    got = {r.doc_id: r for r in quality.quality(documents(spark, data)).collect()}
+    assert len(got) == len(data)
+    assert got[5000].char_distance > 0.24 and not got[5000].kept
+    assert got[5001].kept and got[5001].word_distance == 0 and got[5002].kept
+    assert all(got[i].kept for i in range(1200) if i % 400 != 7)  # the junk is a third of that language
+
+
+def test_written_shards_hold_what_was_assigned(spark, tmp_path):
+    data = [(i % 40, "x" * (37 * i % 900), "en", "s", 1) for i in range(400)] + [(None, "y" * 50, "en", "s", 1), (None, None, None, None, None)]
+    docs = documents(spark, data).selectExpr("*", "'mine' AS shard", "1 AS n", "2 AS number", "'u' AS unit", "3 AS bytes", "'r' AS row")
+    path = f"{tmp_path}/shards"
+    name = sharding.write_shards(docs, path, 1000)
+    back = spark.read.parquet(path)
+    assert name == "shard_" and set(back.columns) == {*docs.columns, name}
+    sizes = back.groupBy(name).agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("rows")).collect()
+    assert all((r.size or 0) <= 1000 or r.rows == 1 for r in sizes)
+    assert Counter(map(tuple, back.drop(name).collect())) == Counter(map(tuple, docs.collect()))
+
+
+def splits(spark, action) -> int:
+    """Joins that adaptive execution has split while the action ran."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before, former = store.executionsCount(), {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        action()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        for k, v in former.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    plans = store.executionsList(before, 10_000)
+    return sum(plans.apply(i).physicalPlanDescription().count("skew=true") for i in range(plans.size()))
+
+
+def common_passages():
+    shared = prose(900, 90)
+    data = [(i, f"{prose(i, 30)}\n{shared}\n{prose(1000 + i, 30)}", "en", "s", 1) for i in range(400)]
+    return data + [(1000 + i, prose(2000 + i, 60), "en", "s", 1) for i in range(200)]
+
+
+@pytest.mark.parametrize("operator", [lines.without_repeated_chunks, substrings.without_repeats])
+def test_joins_of_common_passages_can_be_split(spark, operator):
+    docs = documents(spark, common_passages()).repartition(8)
+    assert splits(spark, lambda: operator(docs).write.format("noop").mode("overwrite").save()) > 0
+
+
+@pytest.mark.parametrize("operator", [minhash.without_near_duplicates, quality.good_documents])
+def test_columns_with_clashing_names_pass(spark, operator):
+    extra = "'x' AS __gone, 1 AS gone, 2 AS id, 'r' AS row, 'b' AS body, 3 AS kept, 'w' AS words, 'c' AS chars, 's' AS shares, 'l' AS ref_lang"
+    docs = documents(spark).selectExpr("*", *extra.split(", "))
+    got = operator(docs)
+    assert got.columns == docs.columns and 0 < got.count() <= docs.count()

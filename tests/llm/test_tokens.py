@@ -76,7 +76,9 @@ def test_packing_puts_every_id_once_with_little_padding(spark):
             at += length
         assert at <= size
     padding = sum(max(s for *_, s in p) - sum(n for _, n, _ in p) for p in sequences.values())
-    assert padding < 128 * 3  # less than the shortest tier for each task
+    assert padding == 0
+    sizes = {s for p in sequences.values() for *_, s in p}
+    assert all(s in packing.TIERS or s & (s - 1) == 0 for s in sizes)
     want = defaultdict(list)
     for i, ids in encoded(rows()):
         want[i, len(ids)].append(ids)
