@@ -315,6 +315,20 @@ def all_sql() -> dict[str, str]:
                 {grouped('fct_rows')} || ' of ' || {grouped('raw_rows')} || ' raw rows survived cleaning ('
                 || printf('%.2f%%', 100 * fct_rows / raw_rows) || ', minimum 65%)' FROM counted"""
 
+    counted, verdict = verdicts.split("SELECT month, 'raw_row_count'")
+    # Months before the first with a failed check or a zone that the lookup lacks.
+    audited = f"""{counted}, verdict AS (SELECT month, 'raw_row_count'{verdict}),
+        lost AS (SELECT strftime(source_month, '%Y-%m') AS month FROM staged
+            WHERE pickup_location_id NOT IN (SELECT location_id FROM zones)
+                OR dropoff_location_id NOT IN (SELECT location_id FROM zones)),
+        bad AS (SELECT coalesce(min(month), '9') AS month
+            FROM (SELECT month FROM verdict WHERE NOT passed UNION ALL SELECT month FROM lost)),
+        good AS (SELECT DISTINCT source_month FROM feed WHERE strftime(source_month, '%Y-%m') < (SELECT month FROM bad))
+        SELECT source_month, raw_rows, trips::HUGEINT::BIGINT AS trips
+        FROM (SELECT source_month, count(*) AS raw_rows FROM feed GROUP BY source_month) JOIN good USING (source_month)
+        LEFT JOIN (SELECT date_trunc('month', pickup_date)::DATE AS source_month, count(*) AS trips FROM fct GROUP BY 1)
+            USING (source_month)"""
+
     return {
         "align_case_and_missing": f"""
             SELECT o_orderkey AS "VendorID", o_orderdate AS tpep_pickup_datetime,
@@ -554,6 +568,7 @@ def all_sql() -> dict[str, str]:
             SELECT * EXCLUDE (place) FROM (SELECT *, row_number() OVER () - 1 AS place FROM lineitem)
             ORDER BY md5('42||' || place), place LIMIT 500""",
         "sample_fixed": "SELECT * FROM orders ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 200",
+        "audited_catch_up": _sql([*_FACT, "zones"], audited),
         "run_months_state": _sql(
             _FACT,
             """SELECT source_month, raw_rows, trips, revenue

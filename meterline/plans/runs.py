@@ -16,12 +16,13 @@ from datetime import date, datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meterline.config import RunConfig
 from meterline.operators import checks, marts
 from meterline.operators.dims import dim_zones
 from meterline.operators.fact import stage_fact
-from meterline.operators.snapshot import apply_snapshot
+from meterline.operators.snapshot import VALID_TO, apply_snapshot
 from meterline.operators.staging import stage_zones
 from meterline.plans import data_tests
 from meterline.session import shuffles_sized_for, side_by_side
@@ -176,10 +177,13 @@ def stage_marts(spark: SparkSession, warehouse: Warehouse, states: States, zones
 
 
 def stage_history(spark: SparkSession, warehouse: Warehouse, states: States, zones: DataFrame, at: datetime) -> State:
-    """The zone history carried forward."""
-    known = states.get("history")
-    history = tables.read_state(spark, known) if known else None
-    return tables.stage_rebuild(apply_snapshot(history, zones, at), warehouse.history)
+    """The zone history carried forward: closed rows stay in the files they are in, open ones are written anew."""
+    known, history = states.get("history"), None
+    if known:
+        history = tables.read_state(spark, replace(known, parts=tuple(p for p in known.parts if p.note != "closed")))
+    spell = F.when(F.col(VALID_TO).isNull(), "open").otherwise("closed")
+    rows = apply_snapshot(history, zones, at).withColumn("spell", spell)
+    return tables.stage_split(rows, warehouse.history, "spell", known, "closed")
 
 
 def run_tests(spark: SparkSession, states: States, zones: DataFrame, config: RunConfig) -> list[checks.CheckResult]:

@@ -15,6 +15,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, location = _open(spark, path)
+    return fs.exists(location) and fs.getFileStatus(location).isDirectory()
+
+
 def size_in_bytes(spark: SparkSession, path: str) -> int:
     """Bytes below a path, 0 where it does not exist."""
     fs, location = _open(spark, path)

@@ -331,6 +331,19 @@ def stage_rebuild(df: DataFrame, path: str) -> State:
     return State(path, _nullable(df.schema), (Part(write),))
 
 
+def stage_split(df: DataFrame, path: str, column: str, base: State | None, keep: str) -> State:
+    """Rows of a table written apart by the values of a text column, which is not stored but noted.
+
+    Of ``base``, the folders noted as ``keep`` stay as they are; the others are replaced.
+    """
+    write, prefix = _new_write(), f"{column}="
+    df.write.partitionBy(column).parquet(f"{path}/{write}")
+    names = [n for n in files.child_folders(df.sparkSession, f"{path}/{write}") if n.startswith(prefix)]
+    fresh = tuple(Part(f"{write}/{n}", note=n.removeprefix(prefix)) for n in names)
+    kept = tuple(p for p in base.parts if p.note == keep) if base else ()
+    return State(path, _nullable(df.drop(column).schema), kept + fresh)
+
+
 def write_months(df: DataFrame, path: str, months: Iterable[date], *, gather: bool = True) -> None:
     """Replace the given months by the rows of ``df``, all at once; others stay as they are."""
     spark = df.sparkSession

@@ -1,7 +1,4 @@
-"""The registered queries against their SQL on the smallest tables.
-
-Queries that load every month take minutes; ``python -m conformance.compare`` runs those too.
-"""
+"""The registered queries against their SQL on the smallest tables."""
 
 from pathlib import Path
 
@@ -13,19 +10,6 @@ from conformance.oracle import all_sql
 from conformance.queries import all_queries
 
 SF = "/root/testdata/sf0.001"
-LOADING = {
-    "load_month_replace",
-    "load_month_rerun",
-    "load_other_month_untouched",
-    "arrival_ingest",
-    "run_months_state",
-    "upsert_fact",
-    "append_new_columns",
-    "incremental_window",
-    "incremental_lookback",
-    "mart_table_rebuild",
-}
-
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables not present")
 
 
@@ -38,7 +22,7 @@ def test_every_query_has_sql():
     assert all_queries().keys() == all_sql().keys()
 
 
-@pytest.mark.parametrize("name", sorted(all_queries().keys() - LOADING))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, duck, name):
     assert difference(all_queries()[name](spark, SF), duck, all_sql()[name]) == ""
 

@@ -1,3 +1,4 @@
+import os
 import shutil
 from datetime import date, datetime
 
@@ -245,6 +246,27 @@ def test_history(spark):
     assert rows_as_of(history, datetime(2024, 12, 31)).count() == 0
 
 
+def test_closed_spells_stay_in_their_files(spark, tmp_path):
+    warehouse, states, plain = runs.Warehouse(f"{tmp_path}/w"), {}, None
+    versions = [
+        [(1, "A", "x", None), (2, "A", "y", "s"), (3, "B", "z", "s")],
+        [(1, "A", "x", None), (2, "A", "Y", "s"), (4, "C", "w", "s")],
+        [(1, "A", "X", None), (2, "A", "Y", "s"), (4, "C", "w", "t")],
+        [(1, "A", "X", None), (2, "A", "Y", "s"), (4, "C", "w", "t")],
+    ]
+    closed: list[set] = []
+    for month, rows in enumerate(versions, 1):
+        source, at = zone_rows(spark, *rows), datetime(2025, month, 1)
+        states["history"] = runs.stage_history(spark, warehouse, states, source, at)
+        plain = apply_snapshot(plain, source, at)
+        plain = spark.createDataFrame(plain.collect(), plain.schema)
+        closed.append({p.folder for p in states["history"].parts if p.note == "closed"})
+    assert closed[0] == set() and closed[1] < closed[2] == closed[3] and len(closed[3]) == 2
+    got = tables.read_state(spark, states["history"])
+    assert got.columns == plain.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+
+
 # Reports.
 
 
@@ -284,12 +306,43 @@ def test_arrivals_are_loaded_once_and_redeliveries_replace(spark, deliver, tmp_p
     assert tables.row_count(spark, warehouse.raw, date(2025, 2, 1)) == 40
 
 
-def test_a_month_spread_over_batches_is_complete(spark, deliver, tmp_path, warehouse):
+def test_a_month_spread_over_batches_is_loaded_once(spark, deliver, tmp_path, warehouse):
     path = deliver("2025-01", 30, "landing")
     spark.read.parquet(path).limit(10).write.mode("append").parquet(path)
     seen: list[dict] = []
     ingest_arrivals(
         spark, f"{tmp_path}/landing", warehouse.raw, f"{tmp_path}/seen", on_loaded=seen.append, max_files=1
     ).awaitTermination()
-    assert seen == [{"2025-01": 40}, {"2025-01": 40}]
+    assert seen[0] == {"2025-01": 40} and len(seen) <= 2  # again only for a file newer than those of the first batch
     assert tables.row_count(spark, warehouse.raw, date(2025, 1, 1)) == 40
+
+
+def test_a_half_landed_folder_waits_for_its_marker_or_quiet_time(spark, deliver, tmp_path, warehouse):
+    seen: list[dict] = []
+
+    def ingest(**options):
+        ingest_arrivals(
+            spark, f"{tmp_path}/landing", warehouse.raw, f"{tmp_path}/seen", on_loaded=seen.append, **options
+        ).awaitTermination()
+
+    path = deliver("2025-01", 30, "landing")
+    os.remove(f"{path}/_SUCCESS")
+    ingest()
+    assert seen == [] and not tables.table_exists(spark, warehouse.raw)
+    # The rest lands, then the marker; nothing is loaded twice.
+    for file in [f for f in os.listdir(deliver("2025-01", 12, "rest")) if f.endswith(".parquet")]:
+        shutil.copy(f"{tmp_path}/rest/yellow_tripdata_2025-01.parquet/{file}", path)
+    ingest()
+    assert seen == []
+    open(f"{path}/_SUCCESS", "w").close()
+    ingest()
+    ingest()
+    assert seen == [{"2025-01": 42}]
+    # Without a marker, time tells; a late file brings the month in again.
+    quiet = deliver("2025-02", 20, "landing")
+    os.remove(f"{quiet}/_SUCCESS")
+    ingest(quiet_seconds=0)
+    for file in [f for f in os.listdir(deliver("2025-02", 5, "late")) if f.endswith(".parquet")]:
+        shutil.copy(f"{tmp_path}/late/yellow_tripdata_2025-02.parquet/{file}", quiet)
+    ingest(quiet_seconds=0)
+    assert seen[1:] == [{"2025-02": 20}, {"2025-02": 25}]
