@@ -316,3 +316,108 @@ def test_columns_with_clashing_names_pass(spark, operator):
     docs = documents(spark).selectExpr("*", *extra.split(", "))
     got = operator(docs)
     assert got.columns == docs.columns and 0 < got.count() <= docs.count()
+
+
+def plain_class(c: str) -> int:
+    if c in " \t\n\v\f\r":
+        return 3
+    kinds = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", None, ".,;:!?'\"()-", "#*$%&|<>")
+    found = [i for i, k in enumerate(kinds) if k and c in k]
+    return found[0] if found else 6 if ord(c) > 127 else 7
+
+
+def plain_distance(p: Counter, q: Counter) -> float:
+    a, b = (np.array([x[k] / max(x.total(), 1) for k in sorted({*p, *q})]) for x in (p, q))
+    m = (a + b) / 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return float(np.sqrt(max(0, sum(np.where(x > 0, x * np.log2(x / m), 0).sum() for x in (a, b)) / 2)))
+
+
+def test_quality_verdicts_as_plain_python(spark):
+    # Fewer distinct words than common ones are kept, so that no tie decides.
+    data = [(i, prose(i, 60 + 9 * i), ("en", "de", None)[i % 3], "s", 1) for i in range(40)]
+    data += [(100, "%%% $$$ " * 80 + prose(5, 30), "en", "s", 1), (101, "ÉÀ né " * 100, "de", "s", 1), (102, "kan " * 70, "en", "s", 1)]
+    chars, common = {}, {}
+    for _, text, lang, *_ in data:
+        chars.setdefault(lang, Counter()).update(map(plain_class, text))
+        common.setdefault(lang, Counter()).update(text.split())
+    assert all(len(c) <= quality.COMMON for c in common.values())
+    got = {r.doc_id: r for r in quality.quality(documents(spark, data)).collect()}
+    verdicts = Counter()
+    for i, text, lang, *_ in data:
+        n = len(text.split())
+        want = plain_distance(Counter(map(plain_class, text)), chars[lang]), plain_distance(Counter(text.split()), common[lang])
+        assert (got[i].char_distance, got[i].word_distance) == pytest.approx(want, abs=1e-6)
+        slack = n**-0.5
+        near = want[0] <= quality.CHAR_LIMIT + quality.CHAR_SLACK * slack and want[1] <= quality.WORD_LIMIT + quality.WORD_SLACK * slack
+        assert got[i].kept == (near and not got[i].base_failed)
+        verdicts[got[i].kept] += 1
+    assert verdicts[True] > 30 and verdicts[False] >= 2
+
+
+def plain_licences(files: list[tuple[str, str]], threshold: float) -> list[tuple]:
+    """Own licence of each file by the cosine of every segment with every template, then the nearest folder's."""
+    import re
+    from math import log
+
+    def segments(path, text):
+        out = [*text.split("\n"), *re.split(r"\n[\x20\t\r]*\n", text)]
+        return [re.findall("[a-z0-9]+", s.lower()) for s in out + ([text] if re.search(licences._LICENCE_FILE, path) else [])]
+
+    every = [w for path, text in files for w in segments(path, text) if w]
+    wordings = [(name, re.findall("[a-z0-9]+", t.lower()), licences.SHARED.get(t, 1)) for name, t in licences.templates()]
+    n = len(every) + len(wordings)
+    vocabulary = {w for _, words, _ in wordings for w in words}
+    df = Counter(w for words in every for w in set(words) if w in vocabulary) + Counter(w for _, ws, _ in wordings for w in set(ws))
+
+    def vector(words):
+        return {w: (1 + log(c)) * (log((1 + n) / (1 + df[w])) + 1) for w, c in Counter(words).items()}
+
+    vectors = [(name, vector(words), factor) for name, words, factor in wordings]
+    size = lambda v: sum(x * x for x in v.values()) ** 0.5
+    own = {}
+    for path, text in files:
+        found = []
+        for words in segments(path, text):
+            if words:
+                v = vector(words)
+                found += [(-round(sum(x * t.get(w, 0) for w, x in v.items()) * f / size(v) / size(t), 6), name) for name, t, f in vectors]
+        best = min((x for x in found if -x[0] >= threshold), default=None)
+        if best:
+            own[path] = (best[1], -best[0])
+    out = []
+    for path, _ in files:
+        folder, kind = path.rpartition("/")[0], "file" if re.search(licences._LICENCE_FILE, path) else "header"
+        if path in own:
+            out.append((path, *own[path], kind))
+            continue
+        while True:
+            held = [(-s, name) for p, (name, s) in own.items() if p.rpartition("/")[0] == folder and re.search(licences._LICENCE_FILE, p)]
+            if held or not folder:
+                break
+            folder = folder.rpartition("/")[0]
+        out.append((path, min(held)[1], -min(held)[0], "inherited") if held else (path, None, None, "none"))
+    return out
+
+
+def test_licences_as_plain_python(spark):
+    import random
+
+    r = random.Random(8)
+    notices = [text for _, text in licences.templates()]
+    files = []
+    for i in range(120):
+        folder = "/".join(r.choices("abc", k=r.randrange(0, 4)))
+        parts = [prose(i * 7 + k, r.randrange(3, 30)) for k in range(r.randrange(1, 4))]
+        if r.random() < 0.5:
+            words = r.choice(notices).split()
+            cut = words[: max(3, int(len(words) * r.random() * 1.3))]
+            parts.insert(r.randrange(len(parts) + 1), " ".join(cut))
+        name = r.choice(["LICENSE", "COPYING", f"{i}.py", f"{i}.txt", f"{i}.c"])
+        files.append((f"{folder}/{name}".lstrip("/") if name[0].isdigit() else f"{folder}/x{i}/{name}".lstrip("/"), r.choice(["\n", "\n\n"]).join(parts)))
+    frame = spark.createDataFrame(files, "path string, text string")
+    got = sorted((x.row.path, x.licence or "", round(x.score or 0, 5), x.found) for x in licences.scan(frame).collect())
+    want = sorted((p, name or "", round(s or 0, 5), found) for p, name, s, found in plain_licences(files, licences.THRESHOLD))
+    assert [(a[0], a[1], a[3]) for a in got] == [(b[0], b[1], b[3]) for b in want]
+    assert all(abs(a[2] - b[2]) < 2e-5 for a, b in zip(got, want))
+    assert {a[3] for a in got} == {"file", "header", "inherited", "none"}
