@@ -134,9 +134,9 @@ def byte_runs(
         at = to
 
 
-def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, Words]]:
+def chunks(batch: pa.RecordBatch, column: str, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:
     """The binary column in runs of rows: first row, last row + 1, their words."""
-    for at, to, data, doc_bytes in byte_runs(batch, column):
+    for at, to, data, doc_bytes in byte_runs(batch, column, size):
         yield at, to, words_of(data, doc_bytes)
 
 
