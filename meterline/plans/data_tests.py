@@ -142,27 +142,24 @@ def _finding(kind: str, key: Column, n: Column, value: Column | None = None, amo
     ]
 
 
-def _summed(parts: DataFrame) -> DataFrame:
-    """Findings from rows of (kind, key, value, n) and the month."""
-    summed = parts.groupBy(MONTH, "kind", "key", "value").agg(F.sum("n").alias("n"))
-    return summed.select(F.col("kind"), *_finding("", F.col("key"), F.col("n"), F.col("value"))[1:])
-
-
 def _counts(table: DataFrame, counters: dict[tuple[str, str], Column], ids: dict[str, str] | None = None) -> DataFrame:
-    """Findings (kind, key) of one pass over a table, and the rows of each value of the columns ``ids`` (key -> column).
+    """Findings (kind, key) of a table, and the rows of each value of the columns ``ids`` (key -> column).
 
-    Rows are counted for each combination of ids first, of which a month has few.
+    A month is one row of counts. Ids are counted column by column: combinations of them are nearly as many as rows.
     """
     ids, names = ids or {}, {f"c{i}": name for i, name in enumerate(counters)}
-    every = F.count(F.lit(1)).alias("every")
-    wide = table.groupBy(MONTH, *ids.values()).agg(every, *(counters[name].alias(c) for c, name in names.items()))
-
-    def row(kind: str, key: str, value: Column, n: str) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"), value.cast("string").alias("value"), F.col(n).alias("n"))
-
-    rows = [row(kind, key, F.lit(None), c) for c, (kind, key) in names.items()]
-    rows += [row("ids", key, F.col(c), "every") for key, c in ids.items()]
-    return _summed(wide.select(MONTH, F.inline(F.array(*rows))).where("kind <> 'ids' OR value IS NOT NULL"))
+    wide = table.groupBy(MONTH).agg(*(counters[name].alias(c) for c, name in names.items()))
+    rows = [
+        F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"), F.col(c).alias("n"))
+        for c, (kind, key) in names.items()
+    ]
+    counts = wide.select(MONTH, F.inline(F.array(*rows)))
+    found = counts.select("kind", *_finding("", F.col("key"), F.col("n"))[1:])
+    if not ids:
+        return found
+    each = F.array(*(F.struct(F.lit(key).alias("key"), F.col(c).cast("string").alias("value")) for key, c in ids.items()))
+    values = table.select(MONTH, F.inline(each)).where("value IS NOT NULL").groupBy(MONTH, "key", "value")
+    return found.unionByName(values.agg(F.count(F.lit(1)).alias("n")).select(*_finding("ids", F.col("key"), F.col("n"), F.col("value"))))
 
 
 def month_findings(
