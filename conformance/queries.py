@@ -61,8 +61,8 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage_trips(feed(spark, sf_dir), RULES)
 
 
-def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_rows(staged(spark, sf_dir))
+def fact(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    return fact_rows(staged(spark, sf_dir), **options)
 
 
 def staged_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,10 +194,11 @@ def snapshot_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def upsert_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All trips stored, then a batch that corrects disputed ones and adds one of each under a new key."""
-    path, trips = scratch_path(spark, "fact"), fact(spark, sf_dir)
+    path, trips = scratch_path(spark, "fact"), fact(spark, sf_dir, gathered=True)
     months = months_of(feed(spark, sf_dir, copies=False))
-    tables.upsert_by_key(trips, path, "trip_id", months)
-    tables.upsert_by_key(_corrections(trips), path, "trip_id", months)
+    tables.upsert_by_key(trips, path, "trip_id", months, gather=False)
+    # Stored rows lie by month already.
+    tables.upsert_by_key(_corrections(tables.read_table(spark, path)), path, "trip_id", months, gather=False)
     return rounded(tables.read_table(spark, path))
 
 

@@ -90,9 +90,17 @@ def project_fact(trips: DataFrame) -> DataFrame:
     )
 
 
-def fact_rows(staged: DataFrame) -> DataFrame:
-    """Fact rows of staged trips. Filter to the wanted window first: no filter moves below the ranking."""
-    return project_fact(latest_per_key(staged.select(*_BASE, "loaded_at"), [KEY], "loaded_at"))
+def fact_rows(staged: DataFrame, *, gathered: bool = False) -> DataFrame:
+    """Fact rows of staged trips. Filter to the wanted window first: no filter moves below the ranking.
+
+    ``gathered`` brings the rows of a month together for writing, before the derived columns make them wider.
+    """
+    # A staged key is the text of 16 bytes; those are shuffled.
+    trips = staged.select(*_BASE, "loaded_at").withColumn(KEY, F.unhex(KEY))
+    trips = latest_per_key(trips, [KEY], "loaded_at").drop("loaded_at")
+    if gathered:
+        trips = trips.hint("rebalance", F.col(tables.MONTH))
+    return project_fact(trips.withColumn(KEY, F.lower(F.hex(KEY))))
 
 
 def in_window(raw: DataFrame, start: date, end: date | None = None) -> DataFrame:
@@ -151,8 +159,8 @@ def stage_fact(
     source = tables.read_state(spark, raw.of(touched))
     staged = stage_trips(in_window(source, *window) if window else source, rules)
     if mode == "replace" and window is None:
-        return tables.stage_months(fact_rows(staged), path, touched, fact), touched
-    return tables.stage_upsert(fact_rows(staged), path, KEY, touched, fact), touched
+        return tables.stage_months(fact_rows(staged, gathered=True), path, touched, fact, gather=False), touched
+    return tables.stage_upsert(fact_rows(staged, gathered=True), path, KEY, touched, fact, gather=False), touched
 
 
 def build_fact(

@@ -15,11 +15,12 @@ There is one writer of a table at a time; a second one that commits the same num
 
 from __future__ import annotations
 
+import contextlib
 import json
 import logging
 import time
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 from datetime import date
 
@@ -36,6 +37,9 @@ KEEP = 3
 ABANDONED_DAYS = 7
 _VERSIONS = "_versions"
 _WRITE = "write"
+# A task's share of a month that is written again, in bytes of its files.
+PIECE_BYTES = 32 << 20
+_PIECE, _GONE = "_piece", "_gone"
 
 
 @dataclass(frozen=True)
@@ -281,7 +285,8 @@ def _written_months(df: DataFrame, path: str, months: list[date], gather: bool)
     if gather:
         # One partition per month, which adaptive execution splits again where a month is large.
         df = df.hint("rebalance", F.col(MONTH))
-    df.write.partitionBy(MONTH).parquet(f"{path}/{write}")
+    # Keys are most of a row; Zstandard halves their text, Snappy leaves it as it is.
+    df.write.partitionBy(MONTH).option("compression", "zstd").parquet(f"{path}/{write}")
     prefix = f"{MONTH}="
     names = [n for n in files.child_folders(df.sparkSession, f"{path}/{write}") if n.startswith(prefix)]
     return tuple(Part(f"{write}/{n}", date.fromisoformat(n.removeprefix(prefix))) for n in names)
@@ -301,14 +306,41 @@ def stage_months(df: DataFrame, path: str, months: Iterable[date], base: State |
     return State(path, schema, kept + fresh)
 
 
-def stage_upsert(batch: DataFrame, path: str, key: str, months: Iterable[date], base: State | None) -> State:
+def _pieces_of(spark: SparkSession, path: str, parts: list[Part]) -> int:
+    """Tasks that share the rows of these parts."""
+    return max(1, -(-sum(files.size_in_bytes(spark, f"{path}/{p.folder}") for p in parts) // PIECE_BYTES))
+
+
+@contextlib.contextmanager
+def _joined_as_dealt(spark: SparkSession) -> Iterator[None]:
+    """Let a join keep an exchange by some of its keys, instead of one by all of them."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _dealt(df: DataFrame, key: str, pieces: dict[date, int]) -> DataFrame:
+    """Rows dealt out by month and, where a month has several ``pieces``, by key: joined and written as they lie."""
+    several = F.create_map(*(F.lit(x) for item in pieces.items() for x in item))
+    piece = F.pmod(F.xxhash64(key), F.element_at(several, F.col(MONTH)))
+    return df.withColumn(_PIECE, piece).repartition(MONTH, _PIECE)
+
+
+def stage_upsert(
+    batch: DataFrame, path: str, key: str, months: Iterable[date], base: State | None, *, gather: bool = True
+) -> State:
     """``base`` without the rows whose key is in the batch, and with the batch.
 
     Equal keys must share a month, which keeps the work inside ``months``. The batch is computed once: its keys are
-    read back from the files it was written to. Old rows that stay are written beside it.
+    read back from the files it was written to. Old rows that stay are shuffled once, for the join with those keys and
+    for their files alike, and written beside it. ``gather`` as of ``stage_months``, for the batch.
     """
     spark, months = batch.sparkSession, sorted(months)
-    staged = stage_months(batch, path, months, base)
+    staged = stage_months(batch, path, months, base, gather=gather)
     known = {p.folder for p in base.parts} if base else set()
     fresh = replace(staged, parts=tuple(p for p in staged.parts if p.folder not in known))
     # A month the batch has no rows of keeps its old ones as they are.
@@ -318,9 +350,15 @@ def stage_upsert(batch: DataFrame, path: str, key: str, months: Iterable[date],
     rest: tuple[Part, ...] = ()
     if old:
         # Distinct keys are combined before the shuffle, so a key with many copies stays cheap.
-        keys = read_state(spark, fresh).select(key).distinct()
+        keys = read_state(spark, fresh).select(MONTH, key).distinct()
         rows = conform(read_state(spark, replace(base, parts=tuple(old))), staged.schema)
-        rest = _written_months(rows.join(keys, key, "left_anti").select(*staged.schema.names), path, sorted(changed), True)
+        pieces = {month: _pieces_of(spark, path, [p for p in old if p.month == month]) for month in sorted(changed)}
+        rows, keys = _dealt(rows, key, pieces), _dealt(keys, key, pieces)
+        # An anti join would be moved below the rows' exchange and need another; a left join stays above it.
+        found = rows.join(keys.withColumn(_GONE, F.lit(True)), [MONTH, _PIECE, key], "left")
+        kept = found.where(F.col(_GONE).isNull()).select(*staged.schema.names)
+        with _joined_as_dealt(spark):
+            rest = _written_months(kept, path, sorted(changed), False)
     return replace(staged, parts=(*staged.parts, *same, *rest))
 
 
@@ -350,10 +388,10 @@ def write_months(df: DataFrame, path: str, months: Iterable[date], *, gather: bo
     commit(spark, stage_months(df, path, months, current(spark, path), gather=gather))
 
 
-def upsert_by_key(batch: DataFrame, path: str, key: str, months: Iterable[date]) -> None:
+def upsert_by_key(batch: DataFrame, path: str, key: str, months: Iterable[date], *, gather: bool = True) -> None:
     """Delete the target rows whose key is in the batch and insert the batch, at once."""
     spark = batch.sparkSession
-    commit(spark, stage_upsert(batch, path, key, months, current(spark, path)))
+    commit(spark, stage_upsert(batch, path, key, months, current(spark, path), gather=gather))
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
