@@ -211,11 +211,12 @@ def _corrections(trips: DataFrame) -> DataFrame:
 @query
 def append_new_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch with a new column and without one of the old."""
-    path, trips = scratch_path(spark, "fact"), fact(spark, sf_dir)
+    path, trips = scratch_path(spark, "fact"), fact(spark, sf_dir, gathered=True)
     months = months_of(feed(spark, sf_dir, copies=False))
-    tables.upsert_by_key(trips, path, "trip_id", months)
-    batch = _corrections(trips).drop("passenger_count").withColumn("corrected_by", F.lit("desk"))
-    tables.upsert_by_key(batch, path, "trip_id", months)
+    tables.upsert_by_key(trips, path, "trip_id", months, gather=False)
+    stored = tables.read_table(spark, path)
+    batch = _corrections(stored).drop("passenger_count").withColumn("corrected_by", F.lit("desk"))
+    tables.upsert_by_key(batch, path, "trip_id", months, gather=False)
     return tables.read_table(spark, path).select(
         "trip_id", "passenger_count", "tip_amount", "source_month", "corrected_by"
     )
