@@ -382,8 +382,10 @@ def incremental_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     early, later, fact_path = (scratch_path(spark, name) for name in ("early", "later", "fact"))
     trips = tables.read_table(spark, raw_path)
     before = [m for m in months if m < date(2000, 1, 1)]
-    tables.write_months(trips.where(tables.in_months(before)), early, before)
-    tables.write_months(trips.withColumn("passenger_count", F.col("passenger_count") + 1), later, months)
+    # Read from months, written to months: nothing to gather.
+    tables.write_months(trips.where(tables.in_months(before)), early, before, gather=False)
+    more = trips.withColumn("passenger_count", F.col("passenger_count") + 1)
+    tables.write_months(more, later, months, gather=False)
     build_fact(spark, early, fact_path, rules=RULES)
     build_fact(spark, later, fact_path, rules=RULES, lookback_days=3)
     return tables.read_table(spark, fact_path).select("trip_id", "pickup_ts", "passenger_count", "source_month")
