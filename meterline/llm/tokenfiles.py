@@ -87,8 +87,100 @@ def decode_block(data: bytes, n: int) -> np.ndarray:
     return out + np.uint32(low)
 
 
+def _halves(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of 8 numbers as their bits in the highest bits of two 64-bit numbers a row, four in each."""
+    parts = values.reshape(-1, 2, 4).astype(np.uint64)
+    out = parts[:, :, 0]
+    for k in range(1, 4):
+        out = out << np.uint64(width) | parts[:, :, k]
+    return out << np.uint64(64 - 4 * width)
+
+
+def _packed_rows(values: np.ndarray, width: int) -> np.ndarray:
+    """``_packed`` of each row, for widths from 1 to 16 and rows of a multiple of 8 values."""
+    halves = _halves(values & np.uint32((1 << width) - 1), width)
+    # Both halves are 4 * width bits: the second follows in the middle of a byte if the width is odd.
+    whole, rest = divmod(4 * width, 8)
+    out = np.zeros((len(halves), width), np.uint8)
+    out[:, : whole + (rest > 0)] = halves[:, 0].astype(">u8").view(np.uint8).reshape(-1, 8)[:, : whole + (rest > 0)]
+    second = halves[:, 1] >> np.uint64(rest)
+    out[:, whole + (rest > 0) :] = (halves[:, 1] << np.uint64(rest)).astype(">u8").view(np.uint8).reshape(-1, 8)[:, :whole]
+    if rest:
+        out[:, whole] |= (second >> np.uint64(56)).astype(np.uint8)
+    return out.reshape(len(values), -1)
+
+
+def _unpacked_rows(data: np.ndarray, width: int) -> np.ndarray:
+    """The values of each row of ``_packed_rows``."""
+    rows = data.reshape(-1, width)
+    whole, rest = divmod(4 * width, 8)
+    halves = np.zeros((len(rows), 2, 8), np.uint8)
+    halves[:, 0, : whole + (rest > 0)] = rows[:, : whole + (rest > 0)]
+    halves[:, 1, : width - whole] = rows[:, whole:]
+    bits = halves.view(">u8").astype(np.uint64).reshape(-1, 2)
+    bits[:, 1] <<= np.uint64(rest)
+    out = np.empty((len(rows), 2, 4), np.uint32)
+    for k in range(4):
+        out[:, :, k] = bits << np.uint64(k * width) >> np.uint64(64 - width)
+    return out.reshape(len(data), -1)
+
+
+def _encode_blocks(ids: np.ndarray) -> list[bytes]:
+    """``encode_block`` of each row of ``BLOCK`` ids, all rows of one width together."""
+    low = ids.min(axis=1)
+    rest = ids - low[:, None]
+    place = BLOCK * PERCENTILE // 100
+    widths = np.frexp(np.partition(rest, place, axis=1)[:, place].astype(np.float64))[1]
+    out: list[bytes] = [b""] * len(ids)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        if not 1 <= width <= 16:
+            for k in rows.tolist():
+                out[k] = encode_block(ids[k])
+            continue
+        own = rest[rows]
+        packed = _packed_rows(own, width)
+        row, over = np.nonzero(own >> np.uint32(width))
+        high = (own[row, over] >> np.uint32(width)).astype("<u4")
+        over = over.astype("<u2")
+        at = np.searchsorted(row, np.arange(len(rows) + 1)).tolist()
+        for i, k in enumerate(rows.tolist()):
+            a, b = at[i], at[i + 1]
+            head = struct.pack("<IBH", int(low[k]), width, b - a)
+            out[k] = b"".join([head, over[a:b].tobytes(), high[a:b].tobytes(), packed[i].tobytes()])
+    return out
+
+
+def _decode_blocks(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The ids of each block of ``BLOCK`` ids, all blocks of one width together."""
+    head = np.lib.stride_tricks.sliding_window_view(data, 7)[starts] if len(starts) else np.empty((0, 7), np.uint8)
+    low, widths = head[:, :4].copy().view("<u4").ravel(), head[:, 4]
+    over = head[:, 5:].copy().view("<u2").ravel().astype(np.int64)
+    out = np.empty((len(starts), BLOCK), np.uint32)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        at = starts[rows] + 7 + 6 * over[rows]
+        size = BLOCK * width // 8
+        if 1 <= width <= 16:
+            out[rows] = _unpacked_rows(np.lib.stride_tricks.sliding_window_view(data, size)[at], width)
+        else:
+            for k, a in zip(rows.tolist(), at.tolist()):
+                out[k] = _unpacked(data[a : a + size].tobytes(), width, BLOCK)
+    # The exceptions of all blocks, one after the other.
+    row = np.repeat(np.arange(len(starts)), over)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(over) - over, over)
+    at = starts[row] + 7 + 2 * nth
+    place = data[at].astype(np.int64) | data[at + 1].astype(np.int64) << 8
+    at = starts[row] + 7 + 2 * over[row] + 4 * nth
+    high = sum(data[at + k].astype(np.uint32) << np.uint32(8 * k) for k in range(4))
+    out[row, place] |= high << np.minimum(widths[row], 31).astype(np.uint32)
+    return out + low[:, None]
+
+
 def encode_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
-    blocks = [encode_block(ids[a : a + BLOCK]) for a in range(0, len(ids), BLOCK)]
+    whole = len(ids) // BLOCK * BLOCK
+    blocks = _encode_blocks(ids[:whole].reshape(-1, BLOCK)) if whole else []
+    blocks += [encode_block(ids[whole:])] if whole < len(ids) else []
     index = np.concatenate([[0], np.cumsum([len(b) for b in blocks])]).astype("<u4")
     head = struct.pack("<4s3I", _MAGIC, len(sizes), len(ids), len(blocks))
     return b"".join([head, sizes.astype("<u4").tobytes(), index.tobytes(), *blocks])
@@ -107,10 +199,10 @@ def _opened(data: bytes) -> tuple[np.ndarray, int, np.ndarray, int]:
 def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """All ids, and how many each document has."""
     sizes, n, index, base = _opened(data)
-    parts = [
-        decode_block(data[base + int(a) : base + int(b)], min(BLOCK, n - k * BLOCK))
-        for k, (a, b) in enumerate(zip(index, index[1:]))
-    ]
+    whole = n // BLOCK
+    parts = [_decode_blocks(np.frombuffer(data, np.uint8), base + index[:whole].astype(np.int64)).ravel()] if whole else []
+    if whole * BLOCK < n:
+        parts.append(decode_block(data[base + int(index[whole]) :], n - whole * BLOCK))
     return np.concatenate([np.empty(0, np.uint32), *parts]), sizes
 
 
@@ -148,14 +240,19 @@ def _segments(tokenizer: str):
 
         for batch in batches:
             for low, high, found, first in encoded(batch, "body", tokenizer):
-                ids.append(found)
-                sizes.append(np.diff(first))
-                names.append(batch.column("doc_id").slice(low, high - low))
-                held += len(found)
-                if held >= SEGMENT_IDS:
-                    yield out()
-                    segment, held = segment + 1, 0
-                    ids.clear(), sizes.clear(), names.clear()
+                at = 0
+                while at < high - low:
+                    # Up to the document that fills the segment.
+                    to = min(high - low, int(np.searchsorted(first, first[at] + SEGMENT_IDS - held)))
+                    ids.append(found[first[at] : first[to]])
+                    sizes.append(np.diff(first[at : to + 1]))
+                    names.append(batch.column("doc_id").slice(low + at, to - at))
+                    held += int(first[to] - first[at])
+                    at = to
+                    if held >= SEGMENT_IDS:
+                        yield out()
+                        segment, held = segment + 1, 0
+                        ids.clear(), sizes.clear(), names.clear()
         if held:
             yield out()
 

@@ -106,3 +106,37 @@ def test_units_give_the_ids_of_whole_texts():
     got = [ids[a:b].tolist() for a, b in zip(first, first[1:])]
     want = [x for _, x in encoded(zip(texts, texts))]
     assert [t for t, g, w in zip(texts, got, want) if g != w] == []
+
+
+def test_words_go_to_the_library_without_marks():
+    text = "The forest, as of then.\nÉté à la mer, année 2024!\nErste Zeile (neu)\nfin été\nwords" * 3
+    encoder, marked = Encoder(PATH), []
+    encoder._apart = lambda units, f=encoder._apart: marked.extend(units) or f(units)
+    ids, first = encoder.encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    assert ids.tolist() == encoded([(0, text)])[0][1] and first.tolist() == [0, len(ids)]
+    assert set(marked) <= {b".\n", b"!\n", b")\n", b"\n"}
+
+
+def test_any_new_units_give_their_own_ids():
+    r = random.Random(2)
+    ends = [b"", b" ", b"\n", b"\t", b"\xc2\xa0", b"\xe3\x80\x80", b"\xc3", b"\xa9", b"\xc3\xa9", b"'", b"'s", b"x", b"12", b"\xe6\xbc\xa2"]
+    units = list({r.choice(ends) + r.choice([b"", b"word", b" two words", b"\n"]) + r.choice(ends) + r.choice(ends) for _ in range(4000)} - {b""})
+    encoder = Encoder(PATH)
+    ids, sizes = encoder._ids(units)
+    want = [x.ids for x in encoder.plain.encode_batch([u.decode(errors="replace") for u in units], add_special_tokens=False)]
+    ends = np.cumsum(sizes)
+    assert [ids[b - n : b].tolist() for b, n in zip(ends, sizes)] == want
+
+
+def test_segments_are_not_opened_block_by_block(monkeypatch):
+    r = np.random.default_rng(3)
+    ids = np.concatenate([r.integers(0, high, 2000, dtype=np.uint32) for high in (1, 2, 900, 50_257, 1 << 20)])
+    ids[::97] = r.integers(0, 1 << 32, len(ids[::97]), dtype=np.uint64)
+    blocks = [tokenfiles.encode_block(ids[a : a + tokenfiles.BLOCK]) for a in range(0, len(ids), tokenfiles.BLOCK)]
+    data = tokenfiles.encode_segment(ids, np.array([4000, 6000]))
+    assert data.endswith(b"".join(blocks))
+    opened = []
+    monkeypatch.setattr(tokenfiles, "decode_block", lambda *a, f=tokenfiles.decode_block: opened.append(a) or f(*a))
+    got, sizes = tokenfiles.decode_segment(data)
+    assert (got == ids).all() and sizes.tolist() == [4000, 6000]
+    assert len(opened) == 1  # the last one, which is shorter
