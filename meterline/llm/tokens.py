@@ -22,7 +22,7 @@ from itertools import chain, repeat
 import numpy as np
 import pyarrow as pa
 
-from meterline.llm.words import byte_runs
+from meterline.llm.words import byte_runs, mix
 
 END_ID = 0
 #: What a worker's units and their ids may hold in memory; beyond it the worker starts anew.
@@ -107,6 +107,47 @@ def _taken(ids: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> tuple[np.ndar
     return np.frombuffer(data or b"", np.uint32, first[-1] // 4), first
 
 
+def _listed(units: pa.LargeBinaryArray, at: np.ndarray) -> list[bytes]:
+    return units.take(pa.array(at)).to_numpy(zero_copy_only=False).tolist()
+
+
+class ShortUnits:
+    """Numbers of units of up to 16 bytes, kept in the order of a hash so that a whole run is looked up at once."""
+
+    LONGEST = 16
+    _LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+    def __init__(self) -> None:
+        # Hash, last 8 bytes, number and size. With the last bytes and the size, the hash gives the first 8 bytes.
+        self.rows = np.empty((3, 0), np.uint64)
+
+    def _keys(self, data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        padded = np.concatenate([data, np.zeros(16, np.uint8)])
+        eight = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+        head = eight[first] & self._LOW[np.minimum(sizes, 8)]
+        tail = eight[first + 8] & self._LOW[np.maximum(sizes, 8) - 8]
+        return mix(head + mix(tail + mix(sizes.astype(np.uint64)))), tail
+
+    def find(self, data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each unit, -1 where unknown, and what ``add`` takes: the rows of all units, without numbers."""
+        hashes, tail = self._keys(data, first, sizes)
+        order = np.argsort(hashes)
+        rows = np.stack([hashes, tail, sizes.astype(np.uint64)])
+        found = np.full(len(hashes), -1, np.int64)
+        if self.rows.shape[1]:
+            at = np.minimum(np.searchsorted(self.rows[0], hashes[order]), self.rows.shape[1] - 1)
+            own, (known, end, number) = rows[:, order], self.rows[:, at]
+            same = (known == own[0]) & (end == own[1]) & (number & np.uint64(31) == own[2])
+            found[order[same]] = (number[same] >> np.uint64(5)).astype(np.int64)
+        return found, rows
+
+    def add(self, rows: np.ndarray, numbers: np.ndarray) -> None:
+        rows = rows.copy()
+        rows[2] |= numbers.astype(np.uint64) << np.uint64(5)
+        rows = rows[:, np.argsort(rows[0])]
+        self.rows = np.insert(self.rows, np.searchsorted(self.rows[0], rows[0]), rows, axis=1)
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
@@ -125,8 +166,8 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.held = 0
+        self.short, self.known = ShortUnits(), dict[bytes, int]()  # longer ones
+        self.count, self.held = 1, 0
         # Ids of all units, and the bytes of them that stand before each; the end id is number 0.
         self.ids, self.first = np.empty(1 << 16, np.uint32), np.zeros(1 << 12, np.int64)
         self.ids[0], self.first[1] = END_ID, 4
@@ -209,48 +250,47 @@ class Encoder:
             self.first[n + 1 : n + 1 + len(sizes)] = 4 * (used + np.cumsum(sizes))
             low = high
 
-    def _numbers(self, units: list[bytes]) -> np.ndarray:
-        found = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+    def _numbers(self, units: pa.LargeBinaryArray) -> np.ndarray:
+        """Numbers of units that differ; unknown ones are encoded and kept, if not too long."""
+        _, bounds, data = units.buffers()
+        bounds = np.frombuffer(bounds, np.int64)[: len(units) + 1]
+        data = np.frombuffer(data or b"", np.uint8)[: bounds[-1]]
+        sizes = np.diff(bounds)
+        short = sizes <= ShortUnits.LONGEST
+        at_short, at_long = np.flatnonzero(short), np.flatnonzero(~short)
+        found = np.empty(len(units), np.int64)
+        found[at_short], rows = self.short.find(data, bounds[at_short], sizes[at_short])
+        texts = _listed(units, at_long)
+        found[at_long] = np.fromiter(map(self.known.get, texts, repeat(-1)), np.int64, len(texts))
         new = np.flatnonzero(found < 0)
         if len(new):
-            kept = [units[i] for i in new.tolist()]
-            longer = np.fromiter(map(len, kept), np.int64, len(kept)) > LONGEST_KEPT
-            passing = []
-            if longer.any():
-                passing = [units[i] for i in new[longer].tolist()]
-                kept = [units[i] for i in new[~longer].tolist()]
             # An id stands for one byte at least.
-            held = sum(map(len, kept)) * 5 + _ENTRY * len(kept)
-            if self.held + held > CACHE_BYTES:
+            held = np.where(sizes[new] > LONGEST_KEPT, 0, 5 * sizes[new] + _ENTRY)
+            if self.held + held.sum() > CACHE_BYTES and self.count > 1:
                 self._clear()
-                return self._fresh(units)
-            at = 1 + len(self.known)
-            self._append(kept, at)
-            self.known.update(zip(kept, range(at, at + len(kept))))
-            self.held += held
-            found[new[~longer]] = np.arange(at, at + len(kept))
-            # Their numbers are those of the next units, too.
-            at += len(kept)
-            self._append(passing, at)
-            found[new[longer]] = np.arange(at, at + len(passing))
+                return self._numbers(units)
+            # With nothing known, only as many are kept as may be.
+            held = np.cumsum(held)
+            keep = (sizes[new] <= LONGEST_KEPT) & (self.held + held <= CACHE_BYTES)
+            kept, passing = new[keep], new[~keep]
+            at = self.count
+            self._append(_listed(units, kept), at)
+            found[kept] = np.arange(at, at + len(kept))
+            self.count += len(kept)
+            self.held += int(held[keep][-1]) if len(kept) else 0
+            self.short.add(rows[:, np.searchsorted(at_short, kept[short[kept]])], found[kept[short[kept]]])
+            kept = kept[~short[kept]]
+            self.known.update(zip(_listed(units, kept), found[kept].tolist()))
+            # The numbers of the others are those of the next units, too.
+            self._append(_listed(units, passing), self.count)
+            found[passing] = np.arange(self.count, self.count + len(passing))
         return found
 
-    def _fresh(self, units: list[bytes]) -> np.ndarray:
-        """Numbers of units with nothing known; only as many are kept as may be."""
-        self._append(units, 1)
-        for number, x in enumerate(units, 1):
-            held = 5 * len(x) + _ENTRY
-            if len(x) > LONGEST_KEPT or self.held + held > CACHE_BYTES:
-                break
-            self.known[x] = number
-            self.held += held
-        return np.arange(1, len(units) + 1)
-
     def encode(self, data: np.ndarray, doc_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents, each with the end id, one after the other, and where each begins."""
         starts = unit_starts(data, doc_bytes)
         units = _parts(data, np.append(starts, len(data))).dictionary_encode()
-        numbers = self._numbers(units.dictionary.to_numpy(zero_copy_only=False).tolist())
+        numbers = self._numbers(units.dictionary)
         ends = np.searchsorted(starts, doc_bytes)
         at = np.insert(numbers[units.indices.to_numpy()], ends[1:], 0)
         out, first = _taken(self.ids, self.first[: numbers.max(initial=0) + 2], at)

@@ -140,3 +140,19 @@ def test_segments_are_not_opened_block_by_block(monkeypatch):
     got, sizes = tokenfiles.decode_segment(data)
     assert (got == ids).all() and sizes.tolist() == [4000, 6000]
     assert len(opened) == 1  # the last one, which is shorter
+
+
+@pytest.mark.parametrize("room", [0, 2000, 1 << 28])
+def test_units_are_known_again_whatever_their_length(monkeypatch, room):
+    monkeypatch.setattr("meterline.llm.tokens.CACHE_BYTES", room)
+    words = ["a", "a\0", "\0a", "\0\0", "a" * 7, "a" * 8, "b" + "a" * 7, "a" * 8 + "\0", "a" * 15, "a" * 16, "b" + "a" * 15, "a" * 17, "é" * 8, "a" * 300]
+    encoder = Encoder(PATH)
+    for k in range(4):
+        texts = [" " + x + " " + y for x in words for y in (words[k], f"w{k}")] + [""]
+        data = [x.encode() for x in texts]
+        ids, first = encoder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+        assert [ids[a:b].tolist() for a, b in zip(first, first[1:])] == [x for _, x in encoded(zip(texts, texts))]
+        assert encoder.held <= room
+    if room > 2000:
+        encoder._append = lambda units, at: pytest.fail(f"{units}") if any(len(x) < 200 for x in units) else Encoder._append(encoder, units, at)
+        encoder.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
